@@ -27,7 +27,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Cuts the lineage (a lost executor costs no recomputation), gives the optimizer the
     true size of the table, and keeps Python stages from being run once per consumer.
-    The files are removed when the driver ends.
+    The files are removed when the driver ends, or by ``release()`` of the result once every table
+    that was made from it is itself written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/graincraft-{uuid.uuid4().hex}"
@@ -42,7 +43,9 @@ def materialize(df: DataFrame) -> DataFrame:
             pass  # the JVM may have ended already
 
     atexit.register(remove)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.release = remove
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
