@@ -96,9 +96,10 @@ def _slices(ids, texts, span: int):
 
 
 def _index(span: int, k: int):
-    """``(id, text) -> (id, anchor, reach, first, last)``: a row for each run of windows on one anchor.
+    """``(id, text) -> (id, anchor, reach, first, more)``: a row for each run of windows on one anchor.
 
-    ``reach`` is the hash of all text that these windows cover, ``first`` and ``last`` their starts.
+    ``reach`` is the hash of all text that these windows cover, ``first`` the start of the first window
+    and ``more`` the number of windows after it.
     """
 
     def rows(ids, bases, texts) -> pd.DataFrame:
@@ -121,7 +122,7 @@ def _index(span: int, k: int):
                 "anchor": grams[at[new]].view(np.int64),
                 "reach": roll.of(first, last + span).view(np.int64),
                 "first": first + shift,
-                "last": last + shift,
+                "more": (last - first).astype(np.int32),
             }
         )
 
@@ -171,12 +172,10 @@ def shared_windows(df: DataFrame, id_col: str, column: str, span: int = 200, k:
         raise ValueError("k must lie between 1 and span")
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(column).alias("text"))
     src = src.where(F.col("id").isNotNull() & (F.length("text") >= span))
-    index = materialize(
-        src.mapInPandas(_index(span, k), "id long, anchor long, reach long, first long, last long").select(
-            "id", "anchor", "reach", F.col("first"), F.col("last")
-        )
-    )
-    cand = materialize(index.join(_in_several(index.select("id", "anchor"), "anchor"), "anchor", "left_semi"))
+    index = materialize(src.mapInPandas(_index(span, k), "id long, anchor long, reach long, first long, more int"))
+    cand = index.join(_in_several(index.select("id", "anchor"), "anchor"), "anchor", "left_semi")
+    cand = materialize(cand.withColumn("last", F.col("first") + F.col("more")).drop("more"))
+    index.release()
     place = F.struct("id", "first", "last")
     whole = cand.groupBy("anchor", "reach").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     whole = materialize(whole.where("lo.id <> hi.id"))
