@@ -67,11 +67,15 @@ def same_look(text: str) -> str:
 _SMALL = {k.casefold(): v.casefold() for k, v in LOOKALIKES.items() if "\u0400" <= k < "\u0530"}
 
 
-def _bare_char(ch: str) -> str:
+def _level_char(ch: str) -> str:
     form = unicodedata.normalize("NFD", ch)
     if not "\u0400" <= form[0] < "\u0530":
         form = unicodedata.normalize("NFD", fold_char(ch))
-    out = "".join(_SMALL.get(c, c) for c in unicodedata.normalize("NFD", form.casefold()))
+    return "".join(_SMALL.get(c, c) for c in unicodedata.normalize("NFD", form.casefold()))
+
+
+def _bare_char(ch: str) -> str:
+    out = _level_char(ch)
     return "".join(c for c in out if not (c.isspace() or c in _ASCII_MARKS or unicodedata.category(c)[0] in "PZC"))
 
 
@@ -79,6 +83,14 @@ _ASCII_MARKS = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 _BARE = _Lazy(_bare_char)
 
 
+_LEVEL = _Lazy(_level_char)
+
+
+def level(text: str) -> str:
+    """``same_look`` in small letters, where neither case nor script tells letters of one shape apart."""
+    return text.casefold() if text.isascii() else unicodedata.normalize("NFC", text.translate(_LEVEL))
+
+
 def bare(text: str) -> str:
     """``same_look`` without letter case, white space and punctuation."""
     return unicodedata.normalize("NFC", text.translate(_BARE))
