@@ -50,12 +50,18 @@ _CUT = re.compile(rf"""{_END}|\s*[\r\n]\s*[\r\n]+\s*|(?<=[.?!])\s*(?=[{_HAN}])|(
 _TAGS = re.compile(r"</?[A-Za-z][^<>]*>|https?://\S+|\S+@\S+")
 _ESCAPES = re.compile(r"&(?:amp;)?[A-Za-z]+;|&#\w+;|\\u[0-9a-fA-F]{4}|%[0-9A-F]{2}")
 _WORD = re.compile(rf"[{_HAN}]+|[^\W_{_HAN}]+")
+_RINGS = re.compile("[①-⓿❶-➓㈠-㉃]")
 _LATIN_LETTER = re.compile("[A-Za-z]")
 _OWN_CYRILLIC = re.compile(f"[{''.join(chr(c) for c in range(0x400, 0x500) if chr(c) not in LOOKALIKES)}]")
 _PLAIN = _Lazy(lambda c: c if c in LOOKALIKES else fold_char(c) if unicodedata.normalize("NFD", c)[0] not in LOOKALIKES else c)
 _TO_LATIN = str.maketrans(LOOKALIKES)
 
 
+def presentation_free(text: str) -> str:
+    """``text`` with presentation forms and kinds of blanks mapped; letters of every script stay."""
+    return text if text.isascii() else unicodedata.normalize("NFC", text.translate(_PLAIN))
+
+
 def segments(text: str) -> list[str]:
     """Sentences of ``text`` without markup, in presentation-free form.
 
@@ -67,7 +73,7 @@ def segments(text: str) -> list[str]:
     if "&" in text or "\\" in text or "%" in text:
         text = _ESCAPES.sub(" ", text)
     if not text.isascii():
-        text = unicodedata.normalize("NFC", text.translate(_PLAIN))
+        text = presentation_free(_RINGS.sub(" ", text))
     return [s for s in _CUT.split(text) if s and not s.isspace()]
 
 
@@ -85,9 +91,14 @@ def scripts(segment: str) -> tuple[int, int, int, str, int]:
     """
     han = cyr = 0
     words = []
-    found = Counter(_WORD.findall(segment))
-    long = sum(3 * len(w) * n if "㐀" <= w[0] <= "﫿" else len(w) * n for w, n in found.items() if len(w) > 2 or w[0] > "㐀")
+    found = _WORD.findall(segment)
+    long = 0
     for w in found:
+        if w[0] >= "㐀":
+            long += 3 * len(w)
+        elif len(w) > 2 and w.isalpha():
+            long += len(w)
+    for w in dict.fromkeys(found):
         if "㐀" <= w[0] <= "﫿":
             han += len(w)
         elif w.isascii():
@@ -148,22 +159,39 @@ def _ranks(owner: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Profiles:
-    """For each language of the Latin script the rank of each gram, ``DEPTH`` if it is not among the first."""
+    """For each language of the Latin script the rank of each gram, ``DEPTH`` if it is not among the first.
+
+    ``words`` are the words the profiles come from; others (mostly names) are left out of a text's own
+    ranks as long as it has any of these. ``owner`` names the language of words that only one has.
+    """
 
     ranks: np.ndarray = field(default_factory=lambda: np.full((len(LATIN), 1 << 19), DEPTH, dtype=np.float32))
+    words: frozenset = frozenset()
+    owner: dict = field(default_factory=dict)
 
     @classmethod
     def fit(cls, texts: list[str], labels: list[str]) -> "Profiles":
         out = cls()
+        kept: set[str] = set()
         for i, lang in enumerate(LATIN):
             own = [t for t, l in zip(texts, labels) if l == lang]
             if own:
                 uses = Counter(w for t in own for w in set(t.split()))
-                _, gram, count = _grams([" ".join(w for t in own for w in t.split() if uses[w] >= LEAST_USES)])
+                words = {w for w, n in uses.items() if n >= LEAST_USES}
+                _, gram, count = _grams([" ".join(w for t in own for w in t.split() if w in words)])
                 order = np.argsort(-count, kind="stable")[:DEPTH]
                 out.ranks[i, gram[order]] = np.arange(len(order))
+                for w in words:
+                    out.owner[w] = lang if w not in kept else None
+                kept |= words
+        out.words = frozenset(kept)
+        out.owner = {w: lang for w, lang in out.owner.items() if lang}
         return out
 
+    def reduced(self, text: str) -> str:
+        """``text`` in its known words, or whole if it has none."""
+        return " ".join([w for w in text.split() if w in self.words]) or text
+
     def distances(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Mean out-of-place distance of each text to each language, as a share of the largest possible,
         and the share of its grams that some profile knows."""
@@ -181,14 +209,14 @@ class Profiles:
             out[:, i] = np.bincount(owner, weights=far, minlength=n) / total / DEPTH
         return out, np.bincount(owner, weights=known, minlength=n) / total
 
-    def packed(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The grams and ranks of each language: at most ``DEPTH`` entries each."""
-        return [(g := np.flatnonzero(r < DEPTH), r[g]) for r in self.ranks]
+    def packed(self) -> tuple:
+        """The grams and ranks of each language, at most ``DEPTH`` entries each, and the words."""
+        return [(g := np.flatnonzero(r < DEPTH), r[g]) for r in self.ranks], self.words, self.owner
 
     @classmethod
     def unpacked(cls, packed) -> "Profiles":
-        out = cls()
-        for row, (g, r) in zip(out.ranks, packed):
+        out = cls(words=packed[1], owner=packed[2])
+        for row, (g, r) in zip(out.ranks, packed[0]):
             row[g] = r
         return out
 
@@ -254,7 +282,7 @@ def classify(profiles: Profiles, texts: list[str | None]) -> list[list[tuple[str
                 own.append((s, "ru", cyr / total, cyr, long))
             else:
                 where.append((len(out), len(own)))
-                latin.append(words)
+                latin.append(profiles.reduced(words))
                 own.append((s, None, 0.0, lat, long))
         out.append(own)
     if latin:
@@ -312,7 +340,7 @@ def detect(df: DataFrame, id_col: str, text_col: str, profiles: Profiles, label_
                 case = None
                 if langs:
                     case = "missing" if code is None else "wrong" if code not in langs else "mixed" if len(langs) > 1 else None
-                rows.append((i, list(langs.items()), _stretches(parts, langs) if len(langs) > 1 else [], case))
+                rows.append((i, langs, _stretches(parts, langs) if len(langs) > 1 else [], case))
             yield pd.DataFrame(rows, columns=["id", "languages", "segments", "case"])
 
     label = F.col(label_col) if label_col else F.lit(None)

@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graincraft.llm import copies, lookalike, spans
+from graincraft.llm import copies, language, lookalike, pairs, quality, repetition, spans
 from graincraft.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.repetitive(table(spark, sf_dir, "conversation"), "row_id", "question")
+    return found.select(F.col("id").alias("row_id"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = lookalike.lookalike_keys(table(spark, sf_dir, "conversation"), "row_id", "question", "conversation")
     docs = lookalike.lookalike_keys(table(spark, sf_dir, "corpus"), "content_id", "content", "corpus")
     return lookalike.lookalike_pairs(turns.unionByName(docs))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversation")
+    judge = pairs.fit_judge(turns, "question", "answer", "lang", "row_id")
+    found = pairs.broken_pairs(turns, "row_id", "question", "answer", judge, "lang")
+    return found.select(F.col("id").alias("row_id"), "defect")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for tbl, id_col, column, kind in (
@@ -27,12 +39,33 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversation")
+    found = quality.not_prose(turns, "row_id", "question", quality.fit_model(turns, "question", "row_id"))
+    return found.select(F.col("id").alias("row_id"), "kind")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversation")
+    profiles = language.fit_profiles(turns, "question", "lang", "row_id")
+    found = language.label_cases(turns, "row_id", "question", "lang", profiles)
+    return found.select(F.col("id").alias("row_id"), "lang")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spans.shared_windows(table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select(F.col("id").alias("doc_id")).distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p10_found": p10_found}
+QUERIES = {
+    "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p7_found": p7_found,
+    "p10_found": p10_found,
+}
 ORACLE_SQL = {
     "p10_found": """
         WITH d AS (SELECT doc_id, text, unnest(range(0, length(text) - 199)) AS i FROM documents WHERE length(text) >= 200),
