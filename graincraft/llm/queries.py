@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graincraft.llm import copies, language, lookalike, pairs, quality, repetition, spans
+from graincraft.llm import copies, language, lookalike, mixing, packing, pairs, quality, repetition, spans, subset
 from graincraft.session import table
 
 
@@ -45,6 +45,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("row_id"), "kind")
 
 
+def p6_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, requests = table(spark, sf_dir, "conversation"), table(spark, sf_dir, "subset_request")
+    found = subset.varied_subset(turns, "row_id", "question", requests, "score_x_difficulty", "source")
+    return found.select("request_id", F.col("id").alias("row_id"), "rank", F.round("gain", 4).alias("gain"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversation")
     profiles = language.fit_profiles(turns, "question", "lang", "row_id")
@@ -52,6 +58,57 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("row_id"), "lang")
 
 
+def p7_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversation")
+    profiles = language.fit_profiles(turns, "question", "lang", "row_id")
+    found = language.detect(turns, "row_id", "question", profiles).where("size(segments) > 0")
+    parts = found.select("id", F.posexplode("segments").alias("n", "part"))
+    return parts.select(F.col("id").alias("row_id"), "n", "part.segment", "part.language", "part.confidence")
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.fill_containers(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "container_spec"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(p8_containers(spark, sf_dir), table(spark, sf_dir, "container_spec"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used, _ = mixing.mix_sources(table(spark, sf_dir, "documents"), "doc_id", "text", "source", table(spark, sf_dir, "mix_target"))
+    return used.withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, report = mixing.mix_sources(table(spark, sf_dir, "documents"), "doc_id", "text", "source", table(spark, sf_dir, "mix_target"))
+    return report
+
+
+def p1_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repetition.clean_lines(table(spark, sf_dir, "conversation").select("row_id", "question"), "question")
+    return out.select("row_id", "cleaning.*", "rejected")
+
+
+def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.unify_text(table(spark, sf_dir, "corpus").select("content_id", "content"), "content")
+
+
+def p4_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversation").select("row_id", "question")
+    return copies.collapse_copies(turns, "row_id", "question").select("row_id", "n_copies")
+
+
+def p5_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversation")
+    judged = quality.text_quality(turns, "row_id", "question", quality.fit_model(turns, "question", "row_id"))
+    return judged.withColumnRenamed("id", "row_id")
+
+
+def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.shared_share(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spans.shared_windows(table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select(F.col("id").alias("doc_id")).distinct()
@@ -59,12 +116,23 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_cleaning": p1_cleaning,
     "p2_found": p2_found,
+    "p2_unified": p2_unified,
     "p3_found": p3_found,
     "p4_found": p4_found,
+    "p4_collapsed": p4_collapsed,
     "p5_found": p5_found,
+    "p5_statistics": p5_statistics,
+    "p6_subset": p6_subset,
     "p7_found": p7_found,
+    "p7_segments": p7_segments,
+    "p8_containers": p8_containers,
+    "p8_report": p8_report,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
+    "p10_shares": p10_shares,
 }
 ORACLE_SQL = {
     "p10_found": """
