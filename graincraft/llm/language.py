@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graincraft.llm.fold import LOOKALIKES, _Lazy, fold_char
+from graincraft.session import bounded_sample
 
 #: Languages told apart within the Latin script.
 LATIN = ("de", "en", "es", "fr", "pt")
@@ -227,13 +228,8 @@ def fit_profiles(df: DataFrame, text_col: str, label_col: str, order_col: str, f
     Labels are noisy, so the profiles are fitted twice, the second time on the segments whose language by
     the first profiles agrees with their label.
     """
-    rows = (
-        df.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
-        .select(F.col(text_col).alias("t"), F.col(label_col).alias("l"), F.xxhash64(order_col).alias("h"))
-        .orderBy("h")
-        .limit(fit_rows)
-        .collect()
-    )
+    labelled = df.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+    rows = bounded_sample(labelled.select(F.col(text_col).alias("t"), F.col(label_col).alias("l"), F.col(order_col).alias("o")), "o", fit_rows)
     texts, labels = [], []
     for row in rows:
         code = label_code(row["l"])

@@ -10,15 +10,11 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graincraft.llm.fold import code_points, fold_char
 from graincraft.session import materialize
 
-_TEXT = (
-    "SELECT {columns}, {form} AS form FROM batch"
-)
-
-
 def _form_sql(texts: list[str], column: str) -> str:
     """The mapping as SQL, restricted to the characters that occur in ``texts``."""
     import numpy as np
@@ -63,15 +59,14 @@ def unify_text(df: DataFrame, column: str, out: str = "unified") -> DataFrame:
     """
     keep = [c for c in df.columns if c != out]
     src = df.select(*[F.col(f"`{c}`") for c in keep])
-    schema = src.schema.add(out, "string")
-    types = schema
+    types = T.StructType([*src.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches):
         for b in batches:
             t = pa.Table.from_batches([b])
             form = _run(t.select([column]), column, "SELECT {form} AS form FROM batch")
             col = form.column("form").cast(pa.string())
-            yield from t.append_column(out, col).combine_chunks().to_batches()
+            yield from t.append_column(out, col).to_batches()
 
     return src.mapInArrow(run, types)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graincraft.llm.tokens import VOCABULARY, encoder
-from graincraft.session import materialize
+from graincraft.session import bounded_sample, materialize
 
 #: Token ids are folded into so many features.
 FEATURES = 4096
@@ -57,13 +57,8 @@ def source_name(col):
 
 def fit_sources(df: DataFrame, text_col: str, source_col: str, order_col: str, sources: list[str], fit_rows: int = 3000, vocabulary: str = VOCABULARY) -> SourceModel:
     """A source model from the ``fit_rows`` rows of a known source with the smallest hash of ``order_col``."""
-    rows = (
-        df.select(F.col(text_col).alias("t"), source_name(F.col(source_col)).alias("s"), F.xxhash64(order_col).alias("h"))
-        .where(F.col("s").isin(sources) & F.col("t").isNotNull())
-        .orderBy("h")
-        .limit(fit_rows)
-        .collect()
-    )
+    known = df.select(F.col(text_col).alias("t"), source_name(F.col(source_col)).alias("s"), F.col(order_col).alias("o"))
+    rows = bounded_sample(known.where(F.col("s").isin(sources) & F.col("t").isNotNull()), "o", fit_rows)
     own = encoder(vocabulary)
     x = np.array([features(own.encode_ordinary(r["t"])) for r in rows], dtype=np.float32).reshape(-1, FEATURES)
     return SourceModel.fit(sources, x, np.array([sources.index(r["s"]) for r in rows], dtype=np.int64))
