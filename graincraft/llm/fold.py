@@ -112,13 +112,17 @@ def bare_weights() -> tuple[np.ndarray, np.ndarray]:
     codes = np.arange(top, dtype=np.uint64)
     weight = mix(codes + np.uint64(1))
     count = np.ones(top, dtype=np.int32)
-    plain = [range(0x3400, 0x4DC0), range(0x4E00, 0xA000), range(0xAC00, 0xD7A4), range(0x17000, 0x1B000), range(0x20000, 0x2F800)]
+    plain = [range(0x3400, 0x4DC0), range(0x4E00, 0xA000), range(0xAC00, 0xD7A4), range(0x20000, 0x2F800)]
     skip = np.zeros(top, dtype=bool)
     for r in plain:
         skip[r.start : r.stop] = True
     with np.errstate(over="ignore"):
+        for code in np.flatnonzero(skip):
+            if unicodedata.category(chr(code)) == "Cn":
+                weight[code] = count[code] = 0
         for code in np.flatnonzero(~skip):
             if 0xD800 <= code < 0xE000:
+                weight[code] = count[code] = 0
                 continue
             out = unicodedata.normalize("NFD", _BARE[int(code)])
             if out != chr(code):

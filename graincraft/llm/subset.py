@@ -1,7 +1,7 @@
 """Problem 6: choosing a varied subset, by two-round lazy greedy maximisation of facility location.
 
-The value of a subset is the sum over all texts of their similarity to the nearest chosen one, plus a small
-term for quality. Each partition nominates its own greedy choice, weighted by the texts it stands for;
+The value of a subset is the sum over all texts of their similarity to the nearest chosen one, where a group
+of similar texts counts as the square root of its size, plus a small term for quality. Each partition nominates its own greedy choice, weighted by the texts it stands for;
 nominations are reduced in the same way until they fit one final greedy pass.
 """
 
@@ -25,6 +25,8 @@ DIMENSIONS = 256
 BLOCK, FINAL = 1500, 6000
 #: Weight of the quality term against the cover term.
 QUALITY = 0.1
+#: Texts this similar are of one group; a group counts as the square root of its size.
+GROUP = 0.6
 _HAN = "㐀-䶿一-鿿豈-﫿"
 _WORD = re.compile(f"[{_HAN}]|[^\\W_{_HAN}]+")
 
@@ -42,14 +44,18 @@ def embed(texts: list[str]) -> np.ndarray:
     return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
 
 
-def lazy_greedy(x: np.ndarray, weight: np.ndarray, quality: np.ndarray, k: int, alpha: float = QUALITY) -> tuple[list[int], np.ndarray, np.ndarray]:
+def lazy_greedy(x: np.ndarray, weight: np.ndarray, quality: np.ndarray, k: int, alpha: float = QUALITY, group: float | None = None) -> tuple[list[int], np.ndarray, np.ndarray]:
     """The chosen rows in order, the gain of each, and the weight that each stands for.
 
-    Ties go to the smaller row. Gains only fall, so a row is looked at again only when it is on top.
+    Ties go to the smaller row. Gains only fall, so a row is looked at again only when it is on top. With
+    ``group`` the weight of a row is divided by the square root of all weight at least that similar to it,
+    so that large groups of similar rows do not fill the choice.
     """
     n = len(x)
     k = min(k, n)
     sim = np.maximum(x @ x.T, 0)
+    if group is not None:
+        weight = weight / np.sqrt(np.maximum((sim >= group).astype(np.float32) @ weight, 1e-9))
     bonus = alpha * weight.sum() / max(1, k) * quality
     near = np.zeros(n, dtype=np.float32)
     heap = [(-(float(g) + float(b)), i, 0) for i, (g, b) in enumerate(zip(weight @ sim, bonus))]
@@ -76,7 +82,7 @@ def _nominate(sizes: dict[str, int]):
         pdf = pdf.sort_values("id").reset_index(drop=True)
         x = np.stack(pdf["x"].to_numpy()).astype(np.float32)
         weight = pdf["weight"].to_numpy(dtype=np.float32)
-        chosen, gains, stands = lazy_greedy(x, weight, pdf["quality"].to_numpy(dtype=np.float32), sizes[pdf["grp"].iloc[0]])
+        chosen, gains, stands = lazy_greedy(x, weight, pdf["quality"].to_numpy(dtype=np.float32), sizes[pdf["grp"].iloc[0]], group=GROUP)
         out = pdf.iloc[chosen].copy()
         out["weight"] = stands
         out["rank"] = np.arange(1, len(chosen) + 1)
