@@ -177,29 +177,34 @@ def grams(words: Column, n: int, separator: str = "", limit: int | None = None)
     return F.when(F.size(words) >= n, runs).when(words.isNotNull(), F.array().cast("array<string>"))
 
 
+def _fixed(c: Column) -> Column:
+    """Three decimals; a tie goes to the even digit."""
+    return F.format_string("%.3f", F.bround(c.cast("double"), 3))
+
+
 def size_text(c: Column) -> Column:
     """A number of bytes as text, in G, M, K or Bytes with three decimals."""
-    out = F.format_string("%.3fBytes", c.cast("double"))
+    out = F.concat(_fixed(c), F.lit("Bytes"))
     for unit, power in (("K", 1), ("M", 2), ("G", 3)):
-        out = F.when(c >= 1024**power, F.format_string(f"%.3f{unit}", c / 1024**power)).otherwise(out)
+        out = F.when(c >= 1024**power, F.concat(_fixed(c / 1024**power), F.lit(unit))).otherwise(out)
     return F.when(c.isNotNull(), out)
 
 
 def duration_text(c: Column) -> Column:
     """Seconds as text: '1.000s', '2m3.000s' or '1h2m3.000s'."""
-    hours, rest = F.floor(c / 3600), F.pmod(c, F.lit(3600.0))
-    minutes, seconds = F.floor(rest / 60), F.pmod(rest, F.lit(60.0))
-    short = F.format_string("%.3fs", c)
-    middle = F.format_string("%dm%.3fs", F.floor(c / 60), F.pmod(c, F.lit(60.0)))
-    long = F.format_string("%dh%dm%.3fs", hours, minutes, seconds)
+    minute, rest = F.lit(60.0), F.pmod(c, F.lit(3600.0))
+    short = F.concat(_fixed(c), F.lit("s"))
+    middle = F.concat(F.floor(c / 60).cast("string"), F.lit("m"), _fixed(F.pmod(c, minute)), F.lit("s"))
+    hours = F.concat(F.floor(c / 3600).cast("string"), F.lit("h"), F.floor(rest / 60).cast("string"), F.lit("m"))
+    long = F.concat(hours, _fixed(F.pmod(rest, minute)), F.lit("s"))
     return F.when(c < 60, short).when(c < 3600, middle).when(c.isNotNull(), long)
 
 
 def total_duration_text(c: Column) -> Column:
     """Seconds as text, always with hours, minutes and seconds."""
     rest = F.pmod(c, F.lit(3600.0))
-    out = F.format_string("%dh%dm%.3fs", F.floor(c / 3600), F.floor(rest / 60), F.pmod(rest, F.lit(60.0)))
-    return F.when(c.isNotNull(), out)
+    hours = F.concat(F.floor(c / 3600).cast("string"), F.lit("h"), F.floor(rest / 60).cast("string"), F.lit("m"))
+    return F.concat(hours, _fixed(F.pmod(rest, F.lit(60.0))), F.lit("s"))
 
 
 def l2_distance(a: Column, b: Column) -> Column:

@@ -23,6 +23,10 @@ STOP = ["geometry", "ethics"]
 PARTS = ["science", "表", "市"]
 
 
+# DuckDB takes a comma before a closing bracket for JSON; the standard does not.
+_VALID_LINE = "(json_valid(line) AND line LIKE '{%' AND NOT regexp_matches(line, ',[ ]*[}\\]]'))"
+
+
 def query(sql: str | None = None):
     """Register a query under its name, with its SQL if it has one."""
 
@@ -231,7 +235,7 @@ def dialogue_counters(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH p AS (SELECT line_id, line FROM dialogue_line WHERE json_valid(line) AND line LIKE '{{%'),
+    f"""WITH p AS (SELECT line_id, line FROM dialogue_line WHERE {_VALID_LINE}),
     t AS (SELECT line_id, json_extract(line, '$.data[*]') AS data FROM p),
     c AS (SELECT line_id, unnest(data) AS turn, unnest(range(len(data))) AS n FROM t)
     SELECT line_id, n, {S.normalize("json_extract_string(turn, '$.question')")} AS question FROM c"""
@@ -243,7 +247,7 @@ def normalized_turns(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH p AS (SELECT line_id, line FROM dialogue_line WHERE json_valid(line) AND line LIKE '{%'),
+    f"""WITH p AS (SELECT line_id, line FROM dialogue_line WHERE {_VALID_LINE}),
     t AS (SELECT line_id, json_extract(line, '$.data[*]') AS data FROM p)
     SELECT line_id, coalesce(array_to_string(list_transform(data, lambda x: coalesce(json_extract_string(x, '$.question'), '') || chr(10)), ''), '') AS questions,
     round(list_avg(list_transform(data, lambda x: json_extract_string(x, '$.score_x_difficulty')::DOUBLE)), 6) AS score, len(data) AS turns FROM t"""
@@ -261,7 +265,7 @@ def _has(expr: str, words: list[str]) -> str:
 
 
 @query(
-    f"""WITH p AS (SELECT line_id, line FROM dialogue_line WHERE json_valid(line) AND line LIKE '{{%'),
+    f"""WITH p AS (SELECT line_id, line FROM dialogue_line WHERE {_VALID_LINE}),
     t AS (SELECT line_id, json_extract(line, '$.data[*]') AS data FROM p),
     j AS (SELECT line_id, array_to_string(list_transform(data, lambda x: coalesce({S.strip("json_extract_string(x, '$.question')")}, '')), '') AS q,
       array_to_string(list_transform(data, lambda x: coalesce({S.strip("json_extract_string(x, '$.answer')")}, '')), '') AS a FROM t),
@@ -274,7 +278,7 @@ def route_cutoff(spark: SparkSession, d: str) -> DataFrame:
     return routing.route_dialogues(rows, "data", "line_id", DROP_WORDS, CUT_WORDS).select("line_id", "route", "id")
 
 
-@query("SELECT line_id, json_valid(line) AND line LIKE '{%' AS valid, shard FROM dialogue_line")
+@query(f"SELECT line_id, {_VALID_LINE} AS valid, shard FROM dialogue_line")
 def json_scan(spark: SparkSession, d: str) -> DataFrame:
     return io.parse_lines(table(spark, d, "dialogue_line"), "line").select("line_id", "valid", "shard")
 

@@ -15,7 +15,7 @@ DIALOGUE = "data array<struct<question:string,answer:string,score_x_difficulty:d
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, recursive: bool = False) -> DataFrame:
     """JSON lines with a declared schema. With ``recursive``, all ``*.jsonl`` files below, with ``file``, their path."""
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("allowSingleQuotes", False)
     if not recursive:
         return reader.json(path)
     out = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").json(path)
@@ -25,7 +25,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, recursive: bool = Fa
 def parse_lines(df: DataFrame, column: str, schema: str = DIALOGUE) -> DataFrame:
     """The fields of ``schema`` from lines of JSON; ``valid`` tells lines that are a JSON object."""
     bad = "_corrupt_record"
-    row = F.from_json(F.col(column), f"{schema}, {bad} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    row = F.from_json(F.col(column), f"{schema}, {bad} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad, "allowSingleQuotes": "false"})
     out = df.withColumn("__row", row)
     fields = [f.name for f in out.schema["__row"].dataType.fields if f.name != bad]
     ok = F.col("__row").isNotNull() & F.col(f"__row.{bad}").isNull() & F.col(column).rlike(r"^\s*\{")
