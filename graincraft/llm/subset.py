@@ -76,14 +76,18 @@ def lazy_greedy(x: np.ndarray, weight: np.ndarray, quality: np.ndarray, k: int,
 
 
 def _nominate(sizes: dict[str, int]):
-    """A function over one block of a group: its greedy choice, with what each chosen text stands for."""
+    """A function over one block of a group: its greedy choice, with what each chosen text stands for.
+
+    A block of texts is embedded first; a block of nominations brings its vectors along.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id").reset_index(drop=True)
-        x = np.stack(pdf["x"].to_numpy()).astype(np.float32)
-        weight = pdf["weight"].to_numpy(dtype=np.float32)
+        x = embed(list(pdf["text"])) if "text" in pdf else np.stack(pdf["x"].to_numpy()).astype(np.float32)
+        weight = pdf["weight"].to_numpy(dtype=np.float32) if "weight" in pdf else np.ones(len(pdf), dtype=np.float32)
         chosen, gains, stands = lazy_greedy(x, weight, pdf["quality"].to_numpy(dtype=np.float32), sizes[pdf["grp"].iloc[0]], group=GROUP)
-        out = pdf.iloc[chosen].copy()
+        out = pdf.iloc[chosen][["grp", "id", "quality"]].copy()
+        out["x"] = list(x[chosen])
         out["weight"] = stands
         out["rank"] = np.arange(1, len(chosen) + 1)
         out["gain"] = gains
@@ -131,25 +135,22 @@ def varied_subset(
         score.alias("quality"),
         (source_name(F.col(source_col)) if source_col else F.lit(None).cast("string")).alias("source"),
     ).where(F.col("text").rlike(r"[\p{L}\p{N}]"))
-    groups = [F.lit("")] if "" in sizes else []
-    named = sorted(g for g in sizes if g)
-    if named:
-        groups.append(F.when(F.col("source").isin(named), F.col("source")))
-    rows = rows.select("text", "id", "quality", F.explode(F.array(*groups)).alias("grp")).where("grp is not null")
-    # copies of a text are one candidate; partial aggregation keeps a hot text from moving whole
-    rows = rows.withColumn("key", F.xxhash64("text")).withColumn("key2", F.md5("text"))
-    texts = rows.groupBy("grp", "key", "key2").agg(
-        F.min(F.struct("id", "text")).alias("first"), F.max("quality").alias("quality")
-    ).select("grp", F.col("first.id").alias("id"), F.col("first.text").alias("text"), "quality")
-
-    def vectors(batches):
-        for pdf in batches:
-            out = pdf[["grp", "id"]].copy()
-            out["x"] = list(embed(list(pdf["text"])))
-            out["quality"], out["weight"] = pdf["quality"], 1.0
-            yield out
-
-    level_ = materialize(texts.mapInPandas(vectors, "grp string, id long, x array<float>, quality double, weight double"))
+    # Copies of a text are one candidate of each group; partial aggregation keeps a hot text from moving whole.
+    # Texts move twice, once to meet their copies and once to their block, vectors only for nominations.
+    of_group = {g: F.lit(True) if g == "" else F.col("source") == g for g in sorted(sizes)}
+    members = [
+        F.struct(
+            F.lit(g).alias("grp"), F.min(F.when(own, F.col("id"))).alias("id"), F.max(F.when(own, F.col("quality"))).alias("quality")
+        )
+        for g, own in of_group.items()
+    ]
+    if "" not in sizes:
+        rows = rows.where(F.col("source").isin(sorted(sizes)))
+    texts = rows.groupBy(F.xxhash64("text").alias("key"), F.md5("text").alias("key2")).agg(
+        F.min("text").alias("text"), F.array(*members).alias("members")
+    )
+    texts = materialize(texts.select("text", F.filter("members", lambda m: m["id"].isNotNull()).alias("members")))
+    level_ = texts.select("text", F.explode("members").alias("m")).select("m.grp", "m.id", "m.quality", "text")
     salt = 0
     while True:
         counts = {r["grp"]: r["n"] for r in level_.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -159,7 +160,7 @@ def varied_subset(
         picked = level_.withColumn("block", number).groupBy("grp", "block").applyInPandas(_nominate(sizes), _SCHEMA)
         if all(b == 1 for b in blocks.values()):
             break
-        level_ = materialize(picked.drop("rank", "gain"))
+        level_ = materialize(picked.select("grp", "id", "x", "quality", "weight"))
         salt += 1
     order = materialize(picked.select("grp", "id", "rank", "gain"))
     wanted = spark.createDataFrame(
