@@ -74,9 +74,9 @@ def unify_text(df: DataFrame, column: str, out: str = "unified") -> DataFrame:
 def lookalike_keys(df: DataFrame, id_col: str, column: str, tbl: str, min_alnum: int = 12) -> DataFrame:
     """``(tbl, id, key, raw)``: digests of the consistent form and of the stored text of each row in scope.
 
-    Out of scope are nulls and texts whose form has fewer than ``min_alnum`` letters and digits.
+    Out of scope are nulls (also null ids) and texts whose form has fewer than ``min_alnum`` letters and digits.
     """
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(column).alias("text")).where("text is not null")
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(column).alias("text")).where("id is not null and text is not null")
 
     select = (
         "SELECT id, unhex(md5(form)) AS key, unhex(md5(text)) AS raw FROM "

@@ -198,9 +198,11 @@ def mix_sources(df: DataFrame, id_col: str, text_col: str, source_col: str, targ
     name = source_name(F.col(source_col)).alias("s")
     there = df.where(F.col(text_col).isNotNull()).select(name).where(F.col("s").isin(listed)).distinct().collect()
     sources = sorted(r["s"] for r in there)
-    model = fit_sources(df, text_col, source_col, id_col, sources, vocabulary=vocabulary)
-    docs = materialize(memberships(df, id_col, text_col, source_col, model, vocabulary))
-    plan = fit_rates(docs, mixes, sources)
+    used_schema = "mix_id int, id long, source string, copies long, tokens long"
+    if sources:
+        model = fit_sources(df, text_col, source_col, id_col, sources, vocabulary=vocabulary)
+        docs = materialize(memberships(df, id_col, text_col, source_col, model, vocabulary))
+        plan = fit_rates(docs, mixes, sources)
 
     def run(batches):
         owed = np.zeros((len(plan.mixes), len(sources)))
@@ -211,7 +213,7 @@ def mix_sources(df: DataFrame, id_col: str, text_col: str, source_col: str, targ
             out["mix_id"], out["copies"] = np.array(plan.mixes)[mix], uses[at, mix]
             yield out[["mix_id", "id", "source", "copies", "tokens"]]
 
-    used = materialize(docs.mapInPandas(run, "mix_id int, id long, source string, copies long, tokens long"))
+    used = materialize(docs.mapInPandas(run, used_schema)) if sources else df.sparkSession.createDataFrame([], used_schema)
     sums = used.groupBy("mix_id", "source").agg(
         F.sum(F.col("copies") * F.col("tokens")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("copies").alias("most_copies")
     )
