@@ -37,7 +37,7 @@ def remove_non_printing(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+$", "")
+    return F.regexp_replace(c, rf"^[{WS}]+|(?<![{WS}])[{WS}]+$", "")
 
 
 def uniform_blanks(c: Column) -> Column:

@@ -47,8 +47,8 @@ def label_code(label: str | None) -> str | None:
 
 _HAN = "㐀-䶿一-鿿豈-﫿"
 _END = r"""(?<=[.!?…])["'”’»)\]]*\s+|(?<=[。！？])["'”’»」』)\]]*"""
-_CUT = re.compile(rf"""{_END}|\s*[\r\n]\s*[\r\n]+\s*|(?<=[.?!])\s*(?=[{_HAN}])|(?<=[{_HAN}]{{6}})\s*[\r\n]+\s*""")
-_TAGS = re.compile(r"</?[A-Za-z][^<>]*>|https?://\S+|\S+@\S+")
+_CUT = re.compile(rf"""{_END}|[\r\n]\s*[\r\n]\s*|(?<=[.?!])\s*(?=[{_HAN}])|(?<=[{_HAN}]{{6}})\s*[\r\n]+\s*""")
+_TAGS = re.compile(r"</?[A-Za-z][^<>]*>|https?://\S+|[^\s@]{1,64}@[^\s@]{1,255}")
 _ESCAPES = re.compile(r"&(?:amp;)?[A-Za-z]+;|&#\w+;|\\u[0-9a-fA-F]{4}|%[0-9A-F]{2}")
 _WORD = re.compile(rf"[{_HAN}]+|[^\W_{_HAN}]+")
 _RINGS = re.compile("[①-⓿❶-➓㈠-㉃]")

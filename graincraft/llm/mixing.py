@@ -192,7 +192,7 @@ def mix_sources(df: DataFrame, id_col: str, text_col: str, source_col: str, targ
     its most likely source. Rows of ``targets`` with nulls are ignored.
     """
     mixes: dict[int, dict[str, tuple[float, int]]] = {}
-    for r in targets.dropna().limit(100_000).collect():
+    for r in targets.dropna().collect():
         mixes.setdefault(r["mix_id"], {})[r["source"].strip().lower()] = (r["target_share"], r["max_repeats"])
     listed = sorted({s for own in mixes.values() for s in own})
     name = source_name(F.col(source_col)).alias("s")

@@ -134,7 +134,7 @@ def fill_containers(df: DataFrame, id_col: str, text_col: str, specs: DataFrame,
 
     Rows of ``specs`` with a null are ignored. ``start`` and ``size`` count tokens.
     """
-    capacities = {r["spec_id"]: r["capacity_tokens"] for r in specs.dropna().limit(1000).collect()}
+    capacities = {r["spec_id"]: r["capacity_tokens"] for r in specs.dropna().collect()}
     return pack(materialize(token_sizes(df, id_col, text_col, vocabulary)), capacities, open_bins)
 
 

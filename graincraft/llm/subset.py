@@ -116,7 +116,7 @@ def varied_subset(
     are no candidates. A null, NaN or negative quality counts as the middle of the scale 0 to 10, a larger
     one as 10. Requests of one source share one greedy order, of which each takes its first rows.
     """
-    asked = [r for r in requests.limit(10_000).collect() if r["subset_size"] is not None and r["subset_size"] > 0]
+    asked = [r for r in requests.collect() if r["subset_size"] is not None and r["subset_size"] > 0]
     sizes: dict[str, int] = {}
     for r in asked:
         grp = "" if r["source"] is None else r["source"].strip().lower()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -71,20 +72,33 @@ def garbled(
     return out.when(same, F.concat(unit["kind"], F.lit("="), unit["unit"]))
 
 
-def top_gram(words: list[str], n: int) -> tuple[str | None, int]:
+#: text -> pieces, words or the byte pieces of a tokenizer
+Tokenizer = Callable[[str], list]
+
+
+def _join(pieces: list):
+    """Pieces joined without a separator: strings or bytes."""
+    return b"".join(pieces) if pieces and isinstance(pieces[0], bytes) else "".join(pieces)
+
+
+def _bytes(piece) -> int:
+    return len(piece if isinstance(piece, bytes) else piece.encode("utf-8", "surrogatepass"))
+
+
+def top_gram(words: list, n: int) -> tuple[str | bytes | None, int]:
     """The most frequent run of ``n`` words joined without a separator; the first seen wins ties."""
-    found = Counter("".join(words[i : i + n]) for i in range(len(words) - n + 1))
+    found = Counter(_join(words[i : i + n]) for i in range(len(words) - n + 1))
     return found.most_common(1)[0] if found else (None, 0)
 
 
-def repeated_bytes(words: list[str], n: int) -> int:
+def repeated_bytes(words: list, n: int) -> int:
     """Bytes in repeated runs of ``n`` words, found by one pass that jumps over each repeat."""
-    seen: set[str] = set()
+    seen: set = set()
     i = total = 0
     while i + n <= len(words):
-        run = "".join(words[i : i + n])
+        run = _join(words[i : i + n])
         if run in seen:
-            total += len(run.encode("utf-8", "surrogatepass"))
+            total += _bytes(run)
             i += n
         else:
             seen.add(run)
@@ -92,16 +106,16 @@ def repeated_bytes(words: list[str], n: int) -> int:
     return total
 
 
-def repetition_of(text: str) -> tuple[str, dict[str, float]]:
+def repetition_of(text: str, tokenizer: Tokenizer = str.split) -> tuple[str, dict[str, float]]:
     """The verdict on one text and the shares it rests on; the last rule that fails is named, else 'normal'."""
-    words = text.split()
+    words = tokenizer(text)
     size = len(text.encode("utf-8", "surrogatepass"))
     verdict, shares = "normal", {}
     for n, most in TOP_GRAMS.items():
         gram, times = top_gram(words, n)
         if gram is None:
             continue
-        share = shares[f"top_{n}"] = len(gram.encode("utf-8", "surrogatepass")) * times / size if size else 0.0
+        share = shares[f"top_{n}"] = _bytes(gram) * times / size if size else 0.0
         if share > most:
             verdict = f"top_{n}_grams_ratio"
     for n, most in REPEATED_GRAMS.items():
@@ -111,17 +125,27 @@ def repetition_of(text: str) -> tuple[str, dict[str, float]]:
     return verdict, shares
 
 
-def repetition(c: Column) -> Column:
-    """(verdict, shares) of each text, over whitespace words; null for null."""
+def repetition(c: Column, tokenizer: Tokenizer = str.split) -> Column:
+    """(verdict, shares) of each text, over whitespace words or the pieces of a tokenizer; null for null."""
 
     @F.pandas_udf("verdict string, shares map<string,double>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        rows = [(None, None) if t is None else repetition_of(t) for t in texts]
+        rows = [(None, None) if t is None else repetition_of(t, tokenizer) for t in texts]
         return pd.DataFrame(rows, columns=["verdict", "shares"])
 
     return run(c)
 
 
+def pieces(ids: Column, table: dict[int, bytes]) -> Column:
+    """The byte pieces of an array of token ids, by a vocabulary; unknown ids are null. Null for null."""
+
+    @F.pandas_udf("array<binary>")
+    def run(lists: pd.Series) -> pd.Series:
+        return pd.Series([None if own is None else [table.get(int(i)) for i in own] for own in lists], dtype=object)
+
+    return run(ids)
+
+
 def top_gram_share(c: Column, n: int) -> Column:
     """(gram, n, share) of the most frequent run of ``n`` words; nulls where there is none."""
 

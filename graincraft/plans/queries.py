@@ -417,6 +417,11 @@ def snowball(spark: SparkSession, d: str) -> DataFrame:
     return keywords.snowball(seeds, keywords.merge_counts(counts, counts), STOP, PARTS)
 
 
+@query(f"SELECT word, cnt FROM ({_MERGED}) ORDER BY cnt DESC, word LIMIT 20")
+def top_keywords(spark: SparkSession, d: str) -> DataFrame:
+    return keywords.merge_counts(table(spark, d, "keyword_count")).withColumn("cnt", F.col("cnt") * 2).orderBy(F.desc("cnt"), "word").limit(20)
+
+
 @query("SELECT count(*) AS n, count(DISTINCT word) AS words FROM keyword_count")
 def counts_report(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "keyword_count").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("word").alias("words"))
@@ -477,6 +482,13 @@ def kcenter_beam(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("distance", F.round("distance", 6))
 
 
+@query(f"SELECT v.vec_id, v.label, s.step FROM ({S.kcenter(8)}) s JOIN embeddings v ON v.vec_id = s.id")
+def gathered(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    chosen = sampling.kcenter(vectors, "vec_id", "embedding", 8)
+    return sampling.gather(vectors.select("vec_id", "label"), "vec_id", chosen)
+
+
 @query()
 def kcenter_coreset(spark: SparkSession, d: str) -> DataFrame:
     return sampling.kcenter_coreset(table(spark, d, "embeddings"), "vec_id", "embedding", 8)

@@ -7,7 +7,8 @@ from graincraft.llm import copies, language, lookalike, mixing, packing, pairs,
 T = "Write three practice tasks on family law for the class, please."
 ROWS = [
     (1, T, "en", None, 1.0), (1, T, "en", "a", 1.0), (2, T, "en", "a", None), (None, T, None, "a", 1.0), (None, None, None, None, None),
-    (3, "", "", "", -1.0), (4, "a" * 50_000, "?", "b", float("nan")), (5, T.replace("o", "о"), "xx", "b", 1e12), (6, "\x00퟿￿", "en", "a", 0.0),
+    (3, "", "", "", -1.0), (4, "a" * 50_000, "?", "b", float("nan")), (5, T.replace("o", "о"), "xx", "b", 1e12), (7, "中" * 30_000 + "@" + " " * 30_000 + "<" + "a_" * 3_000 + "@." * 3_000, "zh", "b", 2.0),
+    (6, "\x00퟿￿", "en", "a", 0.0),
 ]
 
 
@@ -69,5 +70,5 @@ def test_results_on_these_rows(df, profiles, model):
     by = runs(profiles, model)
     assert {(r["id_a"], r["id_b"]) for r in by["pairs2"](df).collect()} == {(1, 5), (2, 5)}
     assert {(r["first_id"], r["copy_id"]) for r in by["copies"](df).collect()} == {(1, 2), (1, 5)}
-    assert {r["id"] for r in by["fill"](df).collect() if r["id"] is not None} == {1, 2, 4, 5, 6}
+    assert {r["id"] for r in by["fill"](df).collect() if r["id"] is not None} == {1, 2, 4, 5, 6, 7}
     assert [r["id"] for r in by["subset"](df).where("request_id = 2").collect()]

@@ -45,6 +45,17 @@ def test_repetition_verdicts(spark):
     assert got[3].startswith("duplicate") and got[4] is None
 
 
+def test_byte_pieces(spark):
+    table = {1: b"ab", 2: "é".encode(), 3: b" "}
+    df = spark.createDataFrame([([1, 2, 9],), (None,), ([],)], "ids array<int>")
+    got = [r[0] for r in df.select(quality.pieces(F.col("ids"), table)).collect()]
+    assert [None if g is None else [None if p is None else bytes(p) for p in g] for g in got] == [[b"ab", "é".encode(), None], None, []]
+    cut = lambda t: [bytes([b]) for b in t.encode()]
+    verdict, shares = quality.repetition_of("aaaaaaaaaaaaaaaaaaaab", cut)
+    assert shares["top_1"] == pytest.approx(20 / 21) and verdict != "normal"
+    assert quality.repeated_bytes(list("aéaéaé"), 2) == slow_repeats(list("aéaéaé"), 2)
+
+
 def test_garbled(spark):
     rows = ["a" * 99 + "�", "a�" * 3, "b b b b a", "xxxxxy", "the cat sat on a mat today", "", None]
     df = spark.createDataFrame(list(enumerate(rows)), "i int, t string")
