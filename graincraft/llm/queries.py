@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from graincraft.llm import copies, language, lookalike, mixing, packing, pairs, quality, repetition, spans, subset
 from graincraft.session import table
 
+#: The tables of problem 4: id, column, and kind of its records.
+RECORDS = (
+    ("conversation", "row_id", "question", "text"),
+    ("corpus", "content_id", "content", "text"),
+    ("dialogue_line", "line_id", "line", "json"),
+)
+
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repetition.repetitive(table(spark, sf_dir, "conversation"), "row_id", "question")
@@ -29,11 +36,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
-    for tbl, id_col, column, kind in (
-        ("conversation", "row_id", "question", "text"),
-        ("corpus", "content_id", "content", "text"),
-        ("dialogue_line", "line_id", "line", "json"),
-    ):
+    for tbl, id_col, column, kind in RECORDS:
         found = copies.find_copies(table(spark, sf_dir, tbl), id_col, column, kind)
         parts.append(found.select(F.lit(tbl).alias("tbl"), "first_id", "copy_id"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -91,12 +94,17 @@ def p1_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookalike.unify_text(table(spark, sf_dir, "corpus").select("content_id", "content"), "content")
+    turns = table(spark, sf_dir, "conversation").select(F.lit("conversation").alias("tbl"), F.col("row_id").alias("id"), F.col("question").alias("text"))
+    docs = table(spark, sf_dir, "corpus").select(F.lit("corpus").alias("tbl"), F.col("content_id").alias("id"), F.col("content").alias("text"))
+    return lookalike.unify_text(turns.unionByName(docs), "text")
 
 
 def p4_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversation").select("row_id", "question")
-    return copies.collapse_copies(turns, "row_id", "question").select("row_id", "n_copies")
+    parts = []
+    for tbl, id_col, column, kind in RECORDS:
+        src = table(spark, sf_dir, tbl).select(F.col(id_col).alias("id"), F.col(column).alias("text"))
+        parts.append(copies.collapse_copies(src, "id", "text", kind).select(F.lit(tbl).alias("tbl"), "id", "n_copies"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def p5_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
