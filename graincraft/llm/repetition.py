@@ -111,7 +111,7 @@ def _one(units, at, size, step) -> bool:
 
 
 _ENDS = re.compile(r"""[.!?:;…。！？：；]["'”’»」』)\]）]*\s*$""")
-_NAV = re.compile(r"^\W*(?:[^|>»/·]{1,25}\s*[|>»/·]\s*){2,}[^|>»/·]{0,25}$")
+_NAV = re.compile(r"^\W*(?:(?=[^|>»/·])(?>\s*(?:[^|>»/·\s][^|>»/·]{0,24}\s*)?[|>»/·])){2,}\s*[^|>»/·]{0,25}$")
 _BOILER = re.compile(
     r"all rights reserved|cookie|copyright|©|terms of (?:use|service)|privacy policy|版权所有|alle rechte vorbehalten"
     r"|tous droits réservés|todos los derechos|todos os direitos|все права защищены",
@@ -133,8 +133,11 @@ _RULES = T.StructType(
 
 def clean_text(text: str | None) -> tuple:
     """The values of ``clean_lines`` for one text."""
-    if text is None:
-        return (0, 0, 0, 0, 0, None, None, None)
+    return _line_pass(text)[0] if text is not None else (0, 0, 0, 0, 0, None, None, None)
+
+
+def _line_pass(text: str) -> tuple[tuple, int]:
+    """The values of ``clean_lines`` for one text, and its letters and digits."""
     lines = text.splitlines()
     toks: list[str] = []
     where: list[int] = []
@@ -144,7 +147,8 @@ def clean_text(text: str | None) -> tuple:
         where += [n] * len(own)
     size = [0] * len(lines)
     said = [0] * len(lines)
-    for t, c, n in zip(toks, said_before(toks), where):
+    cover = said_before(toks)
+    for t, c, n in zip(toks, cover, where):
         size[n] += len(t)
         said[n] += len(t) * c
     total = sum(size)
@@ -154,26 +158,30 @@ def clean_text(text: str | None) -> tuple:
         if not line.strip():
             kept.append(line)
             continue
-        is_nav, is_boiler = bool(_NAV.match(line)), bool(_BOILER.search(line))
+        is_open, is_nav, is_boiler = not _ENDS.search(line), bool(_NAV.match(line)), bool(_BOILER.search(line))
         is_again = size[n] > 0 and 2 * said[n] >= size[n]
-        opened += not _ENDS.search(line)
+        opened += is_open
         nav += is_nav
         boiler += is_boiler
         again += is_again
-        if is_nav or is_boiler or is_again:
+        if is_open or is_nav or is_boiler or is_again:
             lost += size[n]
         else:
             kept.append(line)
-    share = sum(said) / total if total else 0.0
-    return (len(lines), opened, nav, boiler, again, share, lost / total if total else 0.0, "\n".join(kept))
+    lost_share = lost / total if total else 0.0
+    whole = tokens(text) if "<" in text else toks  # markup may go on over several lines
+    total = sum(map(len, whole))
+    repeated = sum(len(t) for t, c in zip(whole, cover if whole == toks else said_before(whole)) if c)
+    share = repeated / total if total else 0.0
+    return (len(lines), opened, nav, boiler, again, share, lost_share, "\n".join(kept)), total
 
 
 def clean_lines(df: DataFrame, column: str, max_lost: float = 0.5) -> DataFrame:
     """Add the struct ``cleaning`` and the flag ``rejected`` to each row.
 
     ``cleaning`` holds counts of lines that end without punctuation, are navigation, boilerplate or mostly
-    repeated, the share of letters and digits said before (``repeated_share``), the share in removed lines
-    (``lost_share``) and the text that is left. A row is rejected if either share reaches ``max_lost``.
+    repeated, the share of letters and digits said before (``repeated_share``), the share in lines removed
+    by any of the four rules (``lost_share``) and the text that is left. A row is rejected if either share reaches ``max_lost``.
     A null text has null shares and is not rejected; a text without letters and digits has shares of 0.
     Existing columns of these names are replaced.
     """
@@ -190,13 +198,20 @@ def clean_lines(df: DataFrame, column: str, max_lost: float = 0.5) -> DataFrame:
 def repetitive(df: DataFrame, id_col: str, column: str, least: float = 0.5, min_alnum: int = 12) -> DataFrame:
     """``(id, repeated_share)`` of rows of at least ``min_alnum`` letters and digits with a share of ``least`` or more.
 
-    The shares are those of ``clean_lines``; lines that fail only other rules do not count here.
+    Each text goes through the line pass of ``clean_lines``; of the rows that it rejects, those come out whose
+    repeated share is large enough, so that lines that fail only other rules do not count.
     """
 
     def run(batches):
         for pdf in batches:
-            texts = pdf["text"]
-            share = [clean_share(t, min_alnum) for t in texts]
+            share = [-1.0] * len(pdf)
+            for n, t in enumerate(pdf["text"]):
+                if len(t) < min_alnum:
+                    continue
+                values, total = _line_pass(t)
+                repeated, lost = values[5:7]
+                if total >= min_alnum and max(repeated, lost) >= least:
+                    share[n] = repeated
             out = pd.DataFrame({"id": pdf["id"], "repeated_share": share})
             yield out[out["repeated_share"] >= least]
 

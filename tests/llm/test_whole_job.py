@@ -1,5 +1,6 @@
 """The queries and operators cover the whole job: all tables, rows and text."""
 
+from graincraft.llm import repetition
 from graincraft.llm.queries import QUERIES
 from graincraft.session import table
 
@@ -19,3 +20,17 @@ def test_every_record_is_collapsed_with_its_copies(spark, data_dir):
     assert {(r["tbl"], r["id"]) for r in got} == rows - gone
     for t in TABLES:
         assert sum(r["n_copies"] for r in got if r["tbl"] == t) == sum(k == t for k, _ in rows)
+
+
+def test_lines_without_closing_punctuation_are_removed(spark):
+    junk = "buy cheap lamps\nnew offers daily\nclick right here"
+    values = dict(zip(repetition._RULES.names, repetition.clean_text(junk + "\nA proper sentence.")))
+    assert values["kept_text"] == "A proper sentence." and values["open_lines"] == 3 and values["lost_share"] > 0.5
+    df = spark.createDataFrame([(1, junk)], "id long, t string")
+    assert repetition.clean_lines(df, "t").first()["rejected"]
+    assert repetition.repetitive(df, "id", "t").count() == 0
+
+
+def test_repeated_share_of_the_line_pass_is_that_of_the_whole_text():
+    for text in ("one two three four\none two three four", "a <b\nclass=x> one two three one two three", "x\r\n\r\ny z"):
+        assert repetition.clean_text(text)[5] == max(0.0, repetition.clean_share(text, 1))
