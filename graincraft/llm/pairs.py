@@ -10,6 +10,7 @@ markup, with a test of how the last line closes).
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 from collections import Counter
 
@@ -37,17 +38,20 @@ PLACEHOLDERS = {
     "not available", "unknown", "blank", "无", "暂无", "空", "没有", "无答案", "нет", "нет ответа", "keine", "keine angabe",
     "aucun", "aucune", "ninguno", "ninguna", "nenhum", "nenhuma", "placeholder", "answer", "lorem ipsum",
 }
+#: More letters and digits than any placeholder has; the four left out are letters that show nothing.
+_LETTERS = re.compile("(?:[\\W_\u115f\u1160\u3164\uffa0]*[^\\W_\u115f\u1160\u3164\uffa0]){24}")
 
 
 def is_empty(answer: str | None) -> bool:
     """Null, nothing visible, only markup, or only a placeholder."""
     if answer is None:
         return True
-    if len(answer) > 40 and "<" not in answer and "&" not in answer:
-        return not any(map(str.isalnum, answer)) and not _emoji(answer)
+    if "<" not in answer and "&" not in answer and _LETTERS.match(answer):
+        return False
     shown = same_look(_TAG.sub(" ", answer)).strip()
     if not any(map(str.isalnum, shown)):
         return not _emoji(shown)
+    shown = " ".join(shown.split())
     return len(shown) < 24 and shown.casefold().strip(" \t\n.[](){}<>*_-\"'") in PLACEHOLDERS
 
 
@@ -61,41 +65,80 @@ def _emoji(text: str) -> bool:
 def tile(answer: list[str], question: list[str], least: int) -> tuple[bytearray, bytearray]:
     """Greedy string tiling: marks the tokens of both sides that lie in common tiles of ``least`` or more.
 
-    The longest common stretch of unmarked tokens is taken first. A stretch of the question may be used
-    again once all of it is marked, so that an answer that gives it back several times is covered too.
+    The longest common stretch of unmarked tokens of ``answer`` is taken first, of equal ones the first. A stretch of
+    the question may be used again, so that an answer that gives it back several times is covered too. The stretches
+    come from a suffix automaton of the question, so that texts of any length are tiled.
     """
     got_a, got_q = bytearray(len(answer)), bytearray(len(question))
-    starts: dict[tuple, list[int]] = {}
-    for j in range(len(question) - least + 1):
-        starts.setdefault(tuple(question[j : j + least]), []).append(j)
-    while True:
-        best, at = 0, (0, 0)
-        i = 0
-        while i <= len(answer) - least:
-            if got_a[i]:
-                i += 1
-                continue
-            longest = 0
-            for j in starts.get(tuple(answer[i : i + least]), ()):
-                if best and (i + best >= len(answer) or j + best >= len(question) or answer[i + best] != question[j + best]):
-                    longest = max(longest, 1)
-                    continue  # it cannot be longer than the best
-                n = 0
-                while i + n < len(answer) and j + n < len(question) and not got_a[i + n] and answer[i + n] == question[j + n]:
-                    n += 1
-                if n > best:
-                    best, at = n, (i, j)
-                longest = max(longest, n)
-            i += 1 if longest < best else longest
-        if best < least:
-            return got_a, got_q
-        i, j = at
-        got_a[i : i + best] = b"\x01" * best
-        got_q[j : j + best] = b"\x01" * best
-
-
-#: Texts of up to so many tokens are tiled; for longer ones the stretches of ``common`` are taken together.
-TILED = 600
+    steps, link, size, last = _automaton(question[::-1])
+    reach, state = [0] * len(answer), [0] * len(answer)
+    at = have = 0
+    for i in range(len(answer) - 1, -1, -1):  # both are read backwards: a stretch is known by where it starts
+        while at and answer[i] not in steps[at]:
+            at = link[at]
+            have = size[at]
+        if answer[i] in steps[at]:
+            at = steps[at][answer[i]]
+            have += 1
+        reach[i], state[i] = have, at
+    heap = [(-n, i) for i, n in enumerate(reach) if n >= least]
+    heapq.heapify(heap)
+    while heap:
+        n, i = heapq.heappop(heap)
+        n = -n
+        free = got_a.find(1, i, i + n)
+        free = n if free < 0 else free - i
+        if free < n:
+            if free >= least:
+                heapq.heappush(heap, (-free, i))
+            continue
+        at = state[i]
+        while size[link[at]] >= n:
+            at = link[at]
+        j = len(question) - 1 - last[at]
+        got_a[i : i + n] = b"\x01" * n
+        got_q[j : j + n] = b"\x01" * n
+    return got_a, got_q
+
+
+def _automaton(tokens: list[str]) -> tuple[list[dict], list[int], list[int], list[int]]:
+    """The suffix automaton of ``tokens``: steps, suffix links, greatest length and last end of each state."""
+    steps: list[dict] = [{}]
+    link, size, last = [0], [0], [-1]
+    end = 0
+    for k, t in enumerate(tokens):
+        new = len(size)
+        steps.append({})
+        link.append(0)
+        size.append(size[end] + 1)
+        last.append(k)
+        at = end
+        while t not in steps[at]:
+            steps[at][t] = new
+            if not at:
+                at = -1
+                break
+            at = link[at]
+        if at >= 0:
+            to = steps[at][t]
+            if size[to] == size[at] + 1:
+                link[new] = to
+            else:
+                copy = len(size)
+                steps.append(dict(steps[to]))
+                link.append(link[to])
+                size.append(size[at] + 1)
+                last.append(last[to])
+                link[to] = link[new] = copy
+                while steps[at].get(t) == to:
+                    steps[at][t] = copy
+                    if not at:
+                        break
+                    at = link[at]
+        end = new
+    for at in sorted(range(1, len(size)), key=size.__getitem__, reverse=True):
+        last[link[at]] = max(last[link[at]], last[at])
+    return steps, link, size, last
 
 
 def common(text: list[str], other: list[str], least: int) -> bytearray:
@@ -121,7 +164,7 @@ def is_copy(question: str | None, answer: str, mark: int = 3, share: float = 0.9
         return False
     least = min(3, len(q))
     got_a, got_q = common(a, q, least), common(q, a, least)
-    if max(len(a), len(q)) <= TILED and sum(got_q) >= share * len(q):
+    if sum(got_q) >= share * len(q):
         got_a, got_q = tile(a, q, least)
     rest = [i for i, hit in enumerate(got_a) if not hit]
     return sum(got_q) >= share * len(q) and len(rest) <= mark and (not rest or rest[-1] <= mark)

@@ -1,6 +1,10 @@
 """The queries and operators cover the whole job: all tables, rows and text."""
 
-from graincraft.llm import repetition
+import random
+
+import pytest
+
+from graincraft.llm import pairs, repetition
 from graincraft.llm.queries import QUERIES
 from graincraft.session import table
 
@@ -34,3 +38,47 @@ def test_lines_without_closing_punctuation_are_removed(spark):
 def test_repeated_share_of_the_line_pass_is_that_of_the_whole_text():
     for text in ("one two three four\none two three four", "a <b\nclass=x> one two three one two three", "x\r\n\r\ny z"):
         assert repetition.clean_text(text)[5] == max(0.0, repetition.clean_share(text, 1))
+
+
+def test_tiles_are_the_plain_greedy_ones():
+    def plain(answer, question, least):
+        got = bytearray(len(answer))
+        while True:
+            best, at = 0, 0
+            for i in range(len(answer)):
+                for j in range(len(question)):
+                    n = 0
+                    while i + n < len(answer) and j + n < len(question) and not got[i + n] and answer[i + n] == question[j + n]:
+                        n += 1
+                    if n > best:
+                        best, at = n, i
+            if best < least:
+                return got
+            got[at : at + best] = b"\x01" * best
+
+    rng = random.Random(3)
+    for _ in range(300):
+        a, q = ([rng.choice("abc") for _ in range(rng.randint(1, 25))] for _ in range(2))
+        assert pairs.tile(a, q, 3)[0] == plain(a, q, 3)
+
+
+def test_a_mark_before_the_copy_ends():
+    assert pairs.is_copy("one two three four five", "Question: one two three four five")
+
+
+def test_long_pairs_are_tiled_like_short_ones():
+    # two overlapping halves: the trigrams cover the answer, but no tiles of three cover what one tile leaves
+    q = "a b c d e f x c d e f g h".split()
+    a = "a b c d e f g h".split()
+    short = pairs.tile(a, q, 3)[0]
+    pad = [f"w{i}" for i in range(700)]
+    assert sum(short) < len(a) and all(pairs.common(a, q, 3))
+    got = pairs.tile(pad + ["|"] + a, pad + ["#"] + q, 3)[0]
+    assert got[:700] == b"\x01" * 700 and got[701:] == short
+    many = ["x", "y"] * 20_000
+    assert sum(pairs.tile(many, many[1:] + ["x"], 3)[0]) == len(many) - 1
+
+
+@pytest.mark.parametrize("answer", ["N/A" + " " * 40, "\n" * 40 + "null", "N/A" + "\u200b" * 40, "\u3164" * 50])
+def test_padded_placeholders_are_empty(answer):
+    assert pairs.is_empty(answer)
