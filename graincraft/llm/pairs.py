@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graincraft.llm import language
+from graincraft.llm.counts import frequent_terms
 from graincraft.llm.fold import level, same_look
 from graincraft.llm.language import LANGUAGES, Profiles
-from graincraft.session import bounded_sample
 
 DEFECTS = ("empty", "copy", "refusal", "language", "truncated")
 
@@ -272,11 +272,20 @@ def _brackets(text: str, stack: list[str]) -> None:
 
 
 class Vocabulary:
-    """Words of a sample, to tell a word cut short from a whole one."""
+    """Words in use, to tell a word cut short from a whole one."""
 
     def __init__(self, texts: list[str], uses: int = 5):
-        seen = Counter(w for t in texts for w in set(_WORD.findall(level(t))) if len(w) > 3 and w.isalpha())
-        self.words = sorted(w for w, n in seen.items() if n >= uses)
+        self._hold(w for w, n in Counter(w for t in texts for w in _answer_words(t)).items() if n >= uses)
+
+    @classmethod
+    def of_table(cls, texts: DataFrame, share: float = 1 / 1600, floor: int = 5) -> "Vocabulary":
+        """The words in at least ``share`` of all rows of ``texts``, a column ``t`` without nulls, and in ``floor`` of them."""
+        out = cls([])
+        out._hold(frequent_terms(texts, _answer_words, share, floor))
+        return out
+
+    def _hold(self, words) -> None:
+        self.words = sorted(words)
         self.known = frozenset(self.words)
 
     def cut_short(self, word: str) -> bool:
@@ -287,6 +296,10 @@ class Vocabulary:
         return at < len(self.words) and self.words[at].startswith(word)
 
 
+def _answer_words(text: str) -> set[str]:
+    return {w for w in _WORD.findall(level(text)) if len(w) > 3 and w.isalpha()}
+
+
 def is_truncated(answer: str, vocabulary: Vocabulary | None = None) -> bool:
     """Whether the answer stops inside a word, a sentence, a list or a code block."""
     text = language.presentation_free(answer).rstrip()
@@ -443,10 +456,9 @@ def _spoken(answer: str) -> str:
 
 
 def fit_judge(df: DataFrame, question_col: str, answer_col: str, label_col: str, order_col: str, fit_rows: int = 8000) -> Judge:
-    """Profiles from labelled questions and a vocabulary from answers, each of a sample of ``fit_rows`` rows."""
+    """Profiles from a sample of ``fit_rows`` labelled questions, and the vocabulary of all answers."""
     profiles = language.fit_profiles(df, question_col, label_col, order_col, fit_rows)
-    answers = df.where(F.col(answer_col).isNotNull()).select(F.col(answer_col).alias("t"), F.col(order_col).alias("o"))
-    return Judge(profiles, Vocabulary([r["t"] for r in bounded_sample(answers, "o", fit_rows)]))
+    return Judge(profiles, Vocabulary.of_table(df.where(F.col(answer_col).isNotNull()).select(F.col(answer_col).alias("t"))))
 
 
 def broken_pairs(df: DataFrame, id_col: str, question_col: str, answer_col: str, judge: Judge, label_col: str | None = None) -> DataFrame:

@@ -82,3 +82,18 @@ def test_long_pairs_are_tiled_like_short_ones():
 @pytest.mark.parametrize("answer", ["N/A" + " " * 40, "\n" * 40 + "null", "N/A" + "\u200b" * 40, "\u3164" * 50])
 def test_padded_placeholders_are_empty(answer):
     assert pairs.is_empty(answer)
+
+
+def test_the_vocabulary_holds_the_words_of_all_rows(spark):
+    # one answer in twelve hundred has the word: enough of 12 000, too few of most samples of 8 000
+    rows = [(i, "common words " + ("zirconium" if i % 1200 == 0 else "fill this")) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "o long, t string")
+    words = pairs.Vocabulary.of_table(df.select("t"))
+    assert words.known == {"common", "words", "fill", "this", "zirconium"} and words.cut_short("zirco")
+    assert pairs.Vocabulary.of_table(df.select("t"), share=1 / 1000).known == {"common", "words", "fill", "this"}
+
+
+def test_the_judge_reads_every_answer(spark, monkeypatch):
+    monkeypatch.setattr(pairs.language, "fit_profiles", lambda *a, **k: None)
+    df = spark.createDataFrame([(i, "x", f"answer of zirconium {i}", "en") for i in range(40)], "o long, q string, a string, l string")
+    assert "zirconium" in pairs.fit_judge(df, "q", "a", "l", "o", fit_rows=4).vocabulary.known
