@@ -66,14 +66,13 @@ class Model:
 
 
 def fit_model(df: DataFrame, text_col: str, order_col: str, fit_rows: int = 10000, min_alnum: int = 12) -> Model:
-    """A model from a bounded sample: the ``fit_rows`` rows with the smallest hash of ``order_col``."""
+    """Common words and pairs counted over all rows; trees from the ``fit_rows`` rows with the smallest hash of ``order_col``."""
     texts = df.where(F.length(text_col) >= min_alnum).select(F.col(text_col).alias("t"), F.col(order_col).alias("o"))
-    return model_of([r["t"] for r in bounded_sample(texts, "o", fit_rows)])
+    return model_of([r["t"] for r in bounded_sample(texts, "o", fit_rows)], Common.of_table(texts.select("t")))
 
 
-def model_of(texts: list[str]) -> Model:
+def model_of(texts: list[str], common: Common) -> Model:
     """The model fitted on ``texts``; with too few clear-cut cases the hand-checked texts are added."""
-    common = Common(texts + [t for t, _ in CHECKED])
     checked = np.array([statistics(t, common) for t, _ in CHECKED])
     kinds = np.array([KINDS.index(k) for _, k in CHECKED])
     x = np.array([statistics(t, common) for t in texts]).reshape(len(texts), len(NAMES))

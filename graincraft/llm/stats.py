@@ -6,6 +6,9 @@ import math
 import re
 from collections import Counter
 
+from pyspark.sql import DataFrame
+
+from graincraft.llm.counts import frequent_terms
 from graincraft.llm.fold import level
 from graincraft.llm.repetition import said_before
 
@@ -46,18 +49,32 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text)
 
 
+def terms(text: str) -> set[str]:
+    """The distinct words and pairs of neighbours (with a blank between) of a text, without numbers."""
+    own = words(level(text))
+    out = {w for w in own if not w.isdigit()}
+    out.update(map(" ".join, zip(own, own[1:])))
+    return out
+
+
 class Common:
     """Words (single Chinese characters) and pairs of neighbours in at least ``share`` of some texts."""
 
     def __init__(self, texts: list[str], share: float = 0.001):
-        uses: Counter = Counter()
-        for t in texts:
-            own = words(level(t))
-            uses.update(set(own))
-            uses.update(set(zip(own, own[1:])))
-        kept = {w for w, n in uses.items() if n >= max(3, share * len(texts)) and not str(w).isdigit()}
-        self.words = frozenset(w for w in kept if isinstance(w, str))
-        self.pairs = frozenset(w for w in kept if not isinstance(w, str))
+        uses = Counter(w for t in texts for w in terms(t))
+        self._hold(w for w, n in uses.items() if n >= max(3, share * len(texts)))
+
+    @classmethod
+    def of_table(cls, texts: DataFrame, share: float = 0.001) -> "Common":
+        """Those of all rows of ``texts``, a column ``t`` without nulls."""
+        out = cls([])
+        out._hold(frequent_terms(texts, terms, share, 3))
+        return out
+
+    def _hold(self, kept) -> None:
+        kept = [tuple(w.split(" ")) for w in kept]
+        self.words = frozenset(w for w, *more in kept if not more)
+        self.pairs = frozenset(w for w in kept if len(w) == 2)
 
 
 def statistics(text: str, common: Common) -> list[float]:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from graincraft.llm import pairs, repetition
+from graincraft.llm import pairs, quality, repetition, stats
 from graincraft.llm.queries import QUERIES
 from graincraft.session import table
 
@@ -97,3 +97,12 @@ def test_the_judge_reads_every_answer(spark, monkeypatch):
     monkeypatch.setattr(pairs.language, "fit_profiles", lambda *a, **k: None)
     df = spark.createDataFrame([(i, "x", f"answer of zirconium {i}", "en") for i in range(40)], "o long, q string, a string, l string")
     assert "zirconium" in pairs.fit_judge(df, "q", "a", "l", "o", fit_rows=4).vocabulary.known
+
+
+def test_common_words_are_those_of_all_rows(spark):
+    rows = [(i, "what is written here" + (" zirconium oxide 77" if i % 10 == 0 else "")) for i in range(60)]
+    df = spark.createDataFrame(rows, "o long, t string")
+    common = quality.fit_model(df, "t", "o", fit_rows=5).common
+    plain = stats.Common([t for _, t in rows])
+    assert (common.words, common.pairs) == (plain.words, plain.pairs)
+    assert "zirconium" in common.words and ("zirconium", "oxide") in common.pairs and "77" not in common.words
