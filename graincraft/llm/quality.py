@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from graincraft.llm.boost import Boosted
 from graincraft.llm.holdout import CHECKED
-from graincraft.llm.stats import NAMES, Common, statistics
+from graincraft.llm.stats import NAMES, Common, measures
 from graincraft.session import bounded_sample
 
 KINDS = ("prose", "list", "table", "junk")
@@ -60,9 +60,9 @@ class Model:
         self.common, self.trees = common, trees
 
     def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Statistics and probabilities of ``KINDS`` of each text."""
-        x = np.array([statistics(t, self.common) for t in texts]).reshape(len(texts), len(NAMES))
-        return x, self.trees.probabilities(x)
+        """Statistics of each whole text, and probabilities of ``KINDS``, which go by the text with repetition taken out."""
+        both = np.array([measures(t, self.common) for t in texts]).reshape(len(texts), 2, len(NAMES))
+        return both[:, 0], self.trees.probabilities(both[:, 1])
 
 
 def fit_model(df: DataFrame, text_col: str, order_col: str, fit_rows: int = 10000, min_alnum: int = 12) -> Model:
@@ -73,9 +73,9 @@ def fit_model(df: DataFrame, text_col: str, order_col: str, fit_rows: int = 1000
 
 def model_of(texts: list[str], common: Common) -> Model:
     """The model fitted on ``texts``; with too few clear-cut cases the hand-checked texts are added."""
-    checked = np.array([statistics(t, common) for t, _ in CHECKED])
+    checked = np.array([measures(t, common)[1] for t, _ in CHECKED])
     kinds = np.array([KINDS.index(k) for _, k in CHECKED])
-    x = np.array([statistics(t, common) for t in texts]).reshape(len(texts), len(NAMES))
+    x = np.array([measures(t, common)[1] for t in texts]).reshape(len(texts), len(NAMES))
     y = weak_labels(x)
     x, y = x[y >= 0], y[y >= 0]
     if (np.bincount(y, minlength=len(KINDS)) < 8).any():

@@ -21,7 +21,9 @@ _CELL_END = re.compile(r"</t[dh]>\s*<t[dh][^<>]*>", re.I)
 _ROW_END = re.compile(r"</tr>|<br\s*/?>|</p>|</li>|</div>", re.I)
 _ITEM = re.compile(r"<li[^<>]*>", re.I)
 _ESCAPE = re.compile(r"&(?:amp;)?[A-Za-z]+;|&#\w+;|\\u[0-9a-fA-F]{4}|%[0-9A-F]{2}")
-_CLOSE = re.compile(r"""[.!?…。！？][\s"'”’»」』)\]*_]*$""")
+#: Marks that close a line, and what may stand after them.
+_MARKS = frozenset(".!?…。！？")
+_AFTER = "".join(c for c in map(chr, range(0x3001)) if c.isspace()) + "\"'”’»」』)]*_"
 _STOP = re.compile(rf"""[.!?…。！？]["'”’»」』)\]]*(?=\s|$|[{_HAN}])""")
 _BULLET = re.compile(r"^\s*(?:[-*•▪◦‣·+–—]\s|\[[ xX]?\]|\(?\d{1,3}[.):、．]|[①-⑳㈠-㈩❶-❿]|\(?[a-zA-Z][.)]\s|[一二三四五六七八九十]+、|#\s)")
 _SEPARATOR = re.compile(r"\t|\||;|,(?!\s)|，| {4,}")
@@ -78,10 +80,15 @@ class Common:
 
 
 def statistics(text: str, common: Common) -> list[float]:
-    """The values of ``NAMES``; all 0 for an empty text. Text said many times in a row counts once."""
+    """The values of ``NAMES``, of the whole text; all 0 for an empty text."""
+    return measures(text, common)[0]
+
+
+def measures(text: str, common: Common) -> tuple[list[float], list[float]]:
+    """The values of ``NAMES`` of the whole text, and with text said many times in a row counted once."""
     visible = len("".join(text.split()))
     if not visible:
-        return [0.0] * len(NAMES)
+        return [0.0] * len(NAMES), [0.0] * len(NAMES)
     escapes = sum(map(len, _ESCAPE.findall(text))) if "&" in text or "\\" in text or "%" in text else 0
     replaced = text.count("\ufffd") + text.count("□")
     shown = lay_out(_ESCAPE.sub(" ", text) if escapes else text)
@@ -91,13 +98,17 @@ def statistics(text: str, common: Common) -> list[float]:
         shown = _RING.sub(r"\1 ", shown)
     found = words(shown)
     once = _once(shown, found)
-    body = [ln for ln in once.splitlines() if ln and not ln.isspace() and not set(ln) <= _RULE]
-    if len(body) == 1 and once is shown:
+    whole = _values(shown, found, visible, escapes, replaced, mixed, common)
+    return whole, whole if once == shown else _values(once, None, visible, escapes, replaced, mixed, common)
+
+
+def _values(shown: str, found: list[str] | None, visible: int, escapes: int, replaced: int, mixed: int, common: Common) -> list[float]:
+    body = [ln for ln in shown.splitlines() if ln and not ln.isspace() and not set(ln) <= _RULE]
+    if len(body) == 1 and found is not None:
         by_line = [found]
     else:
         by_line = [words(ln) for ln in body]
         found = [w for own in by_line for w in own]
-    shown = once
     n = max(1, len(found))
     uses = Counter(found)
     chars = max(1, sum(map(len, found)))
@@ -105,7 +116,7 @@ def statistics(text: str, common: Common) -> list[float]:
     lines = max(1, len(body))
     marks = [len(_SEPARATOR.findall(ln.strip(" |"))) for ln in body]
     bullets = [_BULLET.match(ln) is not None for ln in body]
-    closed = [_CLOSE.search(ln[-12:]) is not None for ln in body]
+    closed = [ln.rstrip(_AFTER)[-1:] in _MARKS for ln in body]
     sizes = [len(own) for own in by_line] or [0]
     cells = Counter(c for c in marks if c >= 2)
     sentences = sentence_chars = sentence_words = 0

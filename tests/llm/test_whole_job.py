@@ -1,5 +1,6 @@
 """The queries and operators cover the whole job: all tables, rows and text."""
 
+import math
 import random
 
 import pytest
@@ -106,3 +107,11 @@ def test_common_words_are_those_of_all_rows(spark):
     plain = stats.Common([t for _, t in rows])
     assert (common.words, common.pairs) == (plain.words, plain.pairs)
     assert "zirconium" in common.words and ("zirconium", "oxide") in common.pairs and "77" not in common.words
+
+
+def test_statistics_are_of_the_whole_text():
+    common = stats.Common(["the cat sat on the mat"] * 5)
+    whole, once = (dict(zip(stats.NAMES, v)) for v in stats.measures("The cat sat on the mat.\n" * 50, common))
+    assert whole["words"] == pytest.approx(math.log1p(300)) and whole["lines"] == pytest.approx(math.log1p(50))
+    assert whole["closed_lines"] == 1 and once["words"] < whole["words"]
+    assert dict(zip(stats.NAMES, stats.statistics("The cat sat." + " " * 20 + "\nA dog ran", common)))["closed_lines"] == 0.5
