@@ -1,8 +1,10 @@
 """Problem 6: choosing a varied subset, by two-round lazy greedy maximisation of facility location.
 
 The value of a subset is the sum over all texts of their similarity to the nearest chosen one, where a group
-of similar texts counts as the square root of its size, plus a small term for quality. Each partition nominates its own greedy choice, weighted by the texts it stands for;
-nominations are reduced in the same way until they fit one final greedy pass.
+of similar texts counts as the square root of its size, plus a small term for quality. Each partition nominates
+its own greedy choice, weighted by the number of texts it stands for; nominations are reduced in the same way until
+they fit one final greedy pass. Numbers of texts are passed on as they are: the square root is taken of them in
+each choice, never of what was damped before, so that the last choice sees the group sizes of the whole table.
 """
 
 from __future__ import annotations
@@ -49,11 +51,12 @@ def lazy_greedy(x: np.ndarray, weight: np.ndarray, quality: np.ndarray, k: int,
 
     Ties go to the smaller row. Gains only fall, so a row is looked at again only when it is on top. With
     ``group`` the weight of a row is divided by the square root of all weight at least that similar to it,
-    so that large groups of similar rows do not fill the choice.
+    so that large groups of similar rows do not fill the choice; what the chosen stand for is the weight before that.
     """
     n = len(x)
     k = min(k, n)
     sim = np.maximum(x @ x.T, 0)
+    whole = weight
     if group is not None:
         weight = weight / np.sqrt(np.maximum((sim >= group).astype(np.float32) @ weight, 1e-9))
     bonus = alpha * weight.sum() / max(1, k) * quality
@@ -71,7 +74,7 @@ def lazy_greedy(x: np.ndarray, weight: np.ndarray, quality: np.ndarray, k: int,
         chosen.append(i)
         gains.append(-gain)
         near = np.maximum(near, sim[i])
-    stands = np.bincount(sim[chosen].argmax(axis=0), weight, minlength=len(chosen)) if chosen else np.empty(0)
+    stands = np.bincount(sim[chosen].argmax(axis=0), whole, minlength=len(chosen)) if chosen else np.empty(0)
     return chosen, np.array(gains), stands
 
 

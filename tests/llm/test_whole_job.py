@@ -3,9 +3,10 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
-from graincraft.llm import pairs, quality, repetition, stats
+from graincraft.llm import pairs, quality, repetition, stats, subset
 from graincraft.llm.queries import QUERIES
 from graincraft.session import table
 
@@ -115,3 +116,22 @@ def test_statistics_are_of_the_whole_text():
     assert whole["words"] == pytest.approx(math.log1p(300)) and whole["lines"] == pytest.approx(math.log1p(50))
     assert whole["closed_lines"] == 1 and once["words"] < whole["words"]
     assert dict(zip(stats.NAMES, stats.statistics("The cat sat." + " " * 20 + "\nA dog ran", common)))["closed_lines"] == 0.5
+
+
+def test_group_sizes_are_damped_once():
+    rng = np.random.default_rng(2)
+    family = np.array([1, 0, 0, 0], dtype=np.float32) + rng.normal(scale=0.02, size=(400, 4)).astype(np.float32)
+    others = np.eye(4, dtype=np.float32)[rng.integers(1, 4, 200)]
+    x = np.concatenate([family, others])
+    x = x[rng.permutation(len(x))] / 1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    choose = lambda v, w: subset.lazy_greedy(v, w, np.zeros(len(v), np.float32), 8, group=subset.GROUP)
+    direct = choose(x, np.ones(len(x), np.float32))
+    level, weight = x, np.ones(len(x), np.float32)
+    for blocks in (10, 3):
+        picked = [(v, *choose(v, w)) for v, w in zip(np.array_split(level, blocks), np.array_split(weight, blocks))]
+        level = np.concatenate([v[c] for v, c, _, _ in picked])
+        weight = np.concatenate([n for _, _, _, n in picked]).astype(np.float32)
+        assert weight.sum() == len(x)
+    rounds = choose(level, weight)
+    assert sum(rounds[1]) == pytest.approx(sum(direct[1]), rel=0.1)
