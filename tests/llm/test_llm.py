@@ -431,8 +431,10 @@ def test_windows_are_the_brute_force(spark, seed, monkeypatch):
     texts[32] = texts[30][3:]
     monkeypatch.setattr(spans, "SLICE", 64)
     df = frame(spark, [*texts.items(), (40, None), (41, "")]).repartition(3)
-    got = {(r["id"], a) for r in spans.shared_windows(df, "id", "t", span=20, k=9).collect() for a in range(r["first"], r["last"] + 1)}
-    assert got == slow_windows(texts, 20)
+    for block, chain in ((5000, 5000), (7, 5000), (3, 2)):
+        rows = spans.shared_windows(df, "id", "t", span=20, k=9, block=block, chain=chain).collect()
+        got = {(r["id"], a) for r in rows for a in range(r["first"], r["last"] + 1)}
+        assert got == slow_windows(texts, 20)
     if seed == 0:
         shares = {r["id"]: r for r in spans.shared_share(df, "id", "t", span=20, k=9).collect()}
         cover = {i: {a + k for j, a in got if j == i for k in range(20)} for i in texts}
@@ -441,6 +443,23 @@ def test_windows_are_the_brute_force(spark, seed, monkeypatch):
         assert spans.shared_windows(df.limit(0), "id", "t").count() == 0
 
 
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 4), st.text("ab", min_size=4, max_size=30)), min_size=1, max_size=8))
+def test_factors_are_the_longest_in_any_other_record(rows):
+    ids, texts = np.array([i for i, _ in rows]), [t for _, t in rows]
+    block = spans.Block(ids, texts, 4)
+    for n, (own, text) in enumerate(rows):
+        want, p = [], 0
+        while p < len(text):
+            long = next((m for m in range(len(text) - p, 3, -1) if any(text[p : p + m] in t for i, t in rows if i != own)), 0)
+            if long:
+                want.append((p, long))
+            p += long or 1
+        assert block.factors(n) == want
+        got = {a for lo, hi in block.shared(n) for a in range(lo, hi + 1)}
+        assert got == {a for a in range(len(text) - 3) if any(text[a : a + 4] in t for i, t in rows if i != own)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5), min_size=1, max_size=60), st.integers(1, 20))
 def test_window_minimum(values, width):
