@@ -32,18 +32,29 @@ _FENCE = re.compile(r"^\s*(```|~~~)", re.M)
 
 # ---------------------------------------------------------------- empty
 
-# What stands where an answer is missing.
+# What stands where an answer is missing, and answers nothing.
 PLACEHOLDERS = {
-    "n/a", "na", "n.a.", "none", "null", "nil", "nan", "undefined", "empty", "tbd", "todo", "missing", "no answer",
-    "not available", "unknown", "blank", "无", "暂无", "空", "没有", "无答案", "нет", "нет ответа", "keine", "keine angabe",
-    "aucun", "aucune", "ninguno", "ninguna", "nenhum", "nenhuma", "placeholder", "answer", "lorem ipsum",
+    "n/a", "na", "n.a.", "null", "nil", "nan", "undefined", "empty", "tbd", "todo", "missing", "no answer", "not available",
+    "blank", "placeholder", "lorem ipsum", "暂无", "无答案", "нет ответа", "keine angabe", "sin respuesta", "sem resposta", "sans réponse",
 }
+# Words that stand for a missing answer too, but answer a question for a number or for whether there is any.
+REPLIES = {
+    "none", "unknown", "nothing", "无", "空", "没有", "нет", "keine", "aucun", "aucune", "ninguno", "ninguna", "nenhum", "nenhuma",
+}
+# How such questions are asked.
+_COUNTING = re.compile(
+    r"(?:how (?:many|much)|\b(?:is|are|was|were) there\b|\bany(?:thing|one|body)?\b|\bwho(?:m|se)?\b|\bremain|\bleft\b|wie ?viele?|gibt es|\bwer\b"
+    r"|combien|y a-t-il|\bqui\b|cuánt|\bhay\b|\bquién|quant[oa]s|\bhá\b|\bquem\b|сколько|есть ли|\bкто\b|多少|几[个本种人]|有没有|有.{0,12}吗|谁|是否)[^.!?。！？\n]*[?？]"
+)
 #: More letters and digits than any placeholder has; the four left out are letters that show nothing.
 _LETTERS = re.compile("(?:[\\W_\u115f\u1160\u3164\uffa0]*[^\\W_\u115f\u1160\u3164\uffa0]){24}")
 
 
-def is_empty(answer: str | None) -> bool:
-    """Null, nothing visible, only markup, or only a placeholder."""
+def is_empty(answer: str | None, question: str | None = None) -> bool:
+    """Null, nothing visible, only markup, or only a placeholder.
+
+    "None" and its like are answers where ``question`` asks how many there are, who, or whether there is any.
+    """
     if answer is None:
         return True
     if "<" not in answer and "&" not in answer and _LETTERS.match(answer):
@@ -52,7 +63,10 @@ def is_empty(answer: str | None) -> bool:
     if not any(map(str.isalnum, shown)):
         return not _emoji(shown)
     shown = " ".join(shown.split())
-    return len(shown) < 24 and shown.casefold().strip(" \t\n.[](){}<>*_-\"'") in PLACEHOLDERS
+    if len(shown) >= 24:
+        return False
+    word = shown.casefold().strip(" \t\n.[](){}<>*_-\"'。")
+    return word in PLACEHOLDERS or word in REPLIES and not (question and _COUNTING.search(question.casefold()))
 
 
 def _emoji(text: str) -> bool:
@@ -172,61 +186,120 @@ def is_copy(question: str | None, answer: str, mark: int = 3, share: float = 0.9
 
 # ---------------------------------------------------------------- refusal
 
-# Clauses that decline, by language; (?:…) holds the words that may stand between.
-REFUSALS = {
-    "en": r"\bi (?:\w+ )?(?:can ?not|can'?t|could not|couldn'?t|won'?t|will not|am not able|am unable|must decline|have to decline|decline"
-    r"|would rather not|prefer not|am not allowed|am not permitted|do not feel)|\bi'?m (?:unable|not able|not allowed|afraid i)"
-    r"|not possible for me|no permission|against (?:my|our|the) (?:guideline|polic|rule)|outside (?:of )?(?:what i|my)|beyond (?:what i|my)"
-    r"|leave (?:\w+ )?unanswered|must (?:refuse|decline)|as an? (?:ai|language model|assistant)",
-    "de": r"nicht (?:weiter)?helfen|nichts? (?:dazu )?(?:sagen|beantworten)|keine auskunft|nicht (?:beantworten|möglich|erlaubt|gestattet|in der lage|übernehmen)"
-    r"|muss ich (?:es |das |leider |ablehnen|das thema)|(?:muss|möchte|werde) (?:ich )?(?:\w+ )*(?:ablehnen|auslassen|verzichten)|lieber nicht"
-    r"|als sprachmodell|darf ich (?:\w+ )*(?:nicht|keine)|gegen (?:die|meine) (?:regeln|richtlinien)",
-    "fr": r"je ne (?:peux|suis|saurais|pourrai|veux|dois) ?(?:pas)?|impossible de|je dois (?:refuser|décliner)|préf\w+ ne pas|pas (?:autorisé|le droit|en mesure)"
-    r"|en tant que modèle|contre (?:les|mes) règles|interdit de|m'est (?:impossible|interdit)|je refuse",
-    "es": r"no (?:puedo|me es posible|estoy|tengo permiso|podré|me está permitido|quiero)|debo (?:negarme|rechazar|declinar)|prefiero no|como modelo de|contra (?:las|mis) (?:normas|reglas)|me niego",
-    "pt": r"não (?:posso|consigo|tenho como|tenho permissão|estou|poderei|me é)|prefiro não|(?:devo|preciso|tenho que|tenho de) (?:recusar|negar|declinar)|como modelo de|contra as (?:regras|normas)|recuso",
-    "ru": r"не могу|не в состоянии|вынужден\w* отказ|предпочт?у?\w* не|запрещено|не имею права|не вправе|как языковая модель|против правил|отказываюсь|не смогу|не готов",
-    "zh": r"无法|不能|没有办法|帮不了|不便|只能略过|超出了?我|不符合规范|语言模型|无权|拒绝|不方便|恕难|没办法|无可奉告|不予",
+# A clause declines if it denies being able, allowed or willing to do what answering takes ("I cannot" + "help"), or if it
+# is one of the set phrases. Fixed values, by language: denials, acts of answering, set phrases.
+GRAMMAR = {
+    "en": (
+        r"can ?not|can't|could not|couldn't|won't|will not|would not|wouldn't|not able to|unable to|not allowed to|not permitted to|(?:would|'d) rather not"
+        r"|prefer not to|not possible|impossible|must decline|have to decline|no permission|not comfortable|allowed to",
+        r"answer\w*|help|assist\w*|discuss\w*|talk|speak|respond|reply|provide|do (?:that|this|it|so)|go into|get into|cover|continue|share|comment|handle"
+        r"|say|tell|give|offer|address|engage|comply|fulfil\w*|process|advise|support|proceed",
+        r"(?:is|lies|falls|that's) (?:outside|beyond) (?:of )?(?:what i|my)|against (?:my|our|the) (?:guideline|polic|rule)\w*|leave (?:\w+ )?unanswered"
+        r"|\bi (?:must|have to|will) (?:decline|refuse)|\bi decline|(?:would not|wouldn't|not) be appropriate|is not appropriate|not something i (?:can|will|may)"
+        r"|(?:can't|cannot|won't) be able to do",
+    ),
+    "de": (
+        r"\bnicht\b|\bnichts\b|\bkeine?\b|lieber nicht|\bunmöglich",
+        r"helfen|sagen|beantworten|antworten|auskunft|besprechen|sprechen|äußern|eingehen|übernehmen|\btun\b|machen|liefern|angaben|weiterhelfen|behandeln",
+        r"(?:muss|möchte|werde|will)\b.{0,60}(?:ablehnen|auslassen|verzichten)|(?:nicht|kein\w*) (?:möglich|erlaubt|gestattet|in der lage)|gegen (?:die|meine) (?:regeln|richtlinien)"
+        r"|\blehne\b.{0,30}\bab\b|untersagt|verboten",
+    ),
+    "fr": (
+        r"ne (?:peux|suis|saurais|pourrai|veux|dois|puis)\b(?: pas)?|impossible|(?:dois|préfère\w*|préférerais) (?:ne pas|refuser|décliner)|pas (?:autorisée?|le droit|en mesure)",
+        r"répondre|aider|parler|traiter|faire|fournir|discuter|aborder|dire|donner|commenter|continuer|satisfaire",
+        r"je refuse|je dois (?:refuser|décliner)|contre (?:les|mes) règles|m'est (?:impossible|interdit)|est hors de",
+    ),
+    "es": (
+        r"no (?:puedo|podré|me es posible|estoy en condiciones|estoy autorizad\w|tengo permiso|me está permitido|quiero|debo)|prefiero no|debo (?:negarme|rechazar|declinar)|me niego",
+        r"responder|contestar|ayudar\w*|hablar|tratar|hacerlo|hacer|dar|ofrecer|proporcionar|comentar|discutir|atender|decir",
+        r"va contra (?:las|mis) (?:normas|reglas)|me niego|debo (?:negarme|rechazar|declinar)|fuera de (?:lo que|mi)",
+    ),
+    "pt": (
+        r"não (?:posso|consigo|tenho como|tenho permissão|estou autorizad\w|poderei|me é possível|devo|quero)|prefiro não|(?:devo|preciso|tenho que|tenho de) (?:recusar|negar|declinar)|recuso",
+        r"responder|ajudar|falar|tratar|fazer|dar|oferecer|fornecer|comentar|discutir|atender|dizer|assunto|pedido",
+        r"contra as (?:regras|normas)|me recuso|(?:devo|preciso|tenho que|tenho de) (?:recusar|negar|declinar)|fora d[oa] que",
+    ),
+    "ru": (
+        r"не (?:могу|смогу|в состоянии|имею права|вправе|готов\w*|буду|стану|хочу)|вынужден\w* отказ\w+|предпочт?у?\w* не|запрещено|невозможно",
+        r"помочь|ответ\w+|отвеча\w+|говорить|обсужда\w+|сделать|делать|дать|предостав\w+|сказать|коммент\w+|продолж\w+|выполн\w+|рассказ\w+",
+        r"вынужден\w* отказ\w+|отказываюсь|против правил|вне моих",
+    ),
+    "zh": (
+        r"无法|不能|没有办法|没办法|不便|不方便|无权|恕难|只能|不予|难以|不可以",
+        r"回答|帮助|讨论|提供|完成|继续|略过|谈论|协助|处理|透露|答复|评论|满足|从命|办到",
+        r"帮不了|超出了?我|不符合规范|拒绝|无可奉告|违反.{0,6}(?:规定|准则|规范)",
+    ),
 }
-# What may stand beside a refusal without answering anything.
+# Clauses that give a reason, and those that may stand beside a refusal without answering anything.
+REASONS = (
+    r"^(?:since|because|as (?:it|this|that|an?)\b|for safety|da\b|weil\b|denn\b|als\b|car\b|parce|puisque|en tant que|porque|ya que|puesto que|como (?:un )?model|pois\b|já que"
+    r"|так как|потому|поскольку|как языковая|因为|由于|作为)"
+)
 COURTESIES = (
-    r"let me know|anything else|please (?:ask|consult|contact|try|see|talk)|thank you|thanks|sorry|apologi[sz]e|qualified|professional|expert"
-    r"|bitte (?:frage|wende|wenden|kontaktiere)|fachkraft|danke|entschuldig|tut mir leid"
-    r"|adressez|consultez|spécialiste|professionnel|merci|désolé|pardon"
-    r"|consulta\b|consulte|experto|especialista|gracias|lo siento|perdón|procure|obrigad|desculpe|lamento"
-    r"|обратитесь|специалист|спасибо|извините|простите|к сожалению"
-    r"|换个问题|咨询|谅解|抱歉|对不起|遗憾|感谢|谢谢"
+    r"let me know|anything else|please (?:ask|consult|contact|try|see|talk)|ask a|consult|thank you|thanks|sorry|apologi[sz]e|qualified|professional|expert|for asking"
+    r"|bitte (?:frage|wende|wenden|kontaktiere)|fachkraft|danke|entschuldig|tut mir leid|leider"
+    r"|adressez|consultez|spécialiste|professionnel|merci|désolé|pardon|pour la question|regrette"
+    r"|consulta\b|consulte|experto|especialista|gracias|lo siento|perdón|por preguntar|lamento|procure|obrigad|desculpe|sinto muito|pela pergunta|infelizmente"
+    r"|обратитесь|специалист|спасибо|извините|простите|к сожалению|за вопрос"
+    r"|换个问题|咨询|谅解|抱歉|对不起|遗憾|感谢|谢谢|理解"
 )
-_REFUSE = {k: re.compile(p) for k, p in REFUSALS.items() if k in ("ru", "zh")}
-_REFUSE["latin"] = re.compile("|".join(f"(?:{p})" for k, p in REFUSALS.items() if k not in _REFUSE))
+_DECLINE = {k: re.compile(f"(?:{no})(?:.{{0,60}}?)(?:{act})|(?:{act}).{{0,24}}(?:{no})|{whole}" if k in ("de", "zh") else f"(?:{no}).{{0,60}}?\\b(?:{act})|{whole}") for k, (no, act, whole) in GRAMMAR.items()}
+_REFUSE = {k: _DECLINE[k] for k in ("ru", "zh")}
+_REFUSE["latin"] = re.compile("|".join(f"(?:{_DECLINE[k].pattern})" for k in ("en", "de", "fr", "es", "pt")))
 _CYRILLIC = re.compile("[а-я]")
 _HAN_CHAR = re.compile(f"[{_HAN}]")
-_COURTESY = re.compile(COURTESIES)
+_REASON, _COURTESY = re.compile(REASONS), re.compile(COURTESIES)
 _SENTENCE = re.compile(r"[^.!?…。！？\n]+(?:[.!?…](?!\s)[^.!?…。！？\n]*)*[.!?…。！？\n]*")
+_CLAUSE = re.compile(r"[,;:，；：、]|\s[–—-]\s|\b(but|however|yet|still|aber|jedoch|doch|mais|cependant|pero|sin embargo|mas|porém|но|однако)\b|(但是|但|不过|然而)")
+#: A clause of so many words (Chinese characters) or fewer says nothing of its own, unless it stands against a refusal.
+_FRAGMENT, _HAN_FRAGMENT = 5, 10
 
 
 def is_refusal(answer: str) -> bool:
-    """Whether the answer declines and answers nothing: each sentence declines or is a courtesy, one declines."""
+    """Whether the answer declines and answers nothing.
+
+    Sentences are cut into clauses. One has to decline; the others may give a reason, be a courtesy, a mere
+    fragment or what a declining clause goes on to (an infinitive). Any other clause is taken for an answer.
+    """
     declines = False
     for m in _SENTENCE.finditer(language.presentation_free(_TAG.sub(" ", answer)).casefold().replace("’", "'")):
         s = m.group()
         if not any(map(str.isalnum, s)):
             continue
         script = "latin" if s.isascii() else "zh" if _HAN_CHAR.search(s) else "ru" if _CYRILLIC.search(s) else "latin"
-        if _REFUSE[script].search(s):
-            declines = True
-        elif not (_COURTESY.search(s) and len(s) < 120):
+        whole = _REFUSE[script].search(s)
+        if not whole and not _COURTESY.search(s):
             return False
+        parts = _CLAUSE.split(s)
+        said = against = False
+        for clause, latin, han in zip(parts[::3], [None, *parts[1::3]], [None, *parts[2::3]]):
+            against = against or bool(latin or han)
+            clause = clause.strip(" .!?…。！？\n\"'»”)")
+            size = len(_HAN_CHAR.findall(clause)) if script == "zh" else len(clause.split())
+            if not size:
+                continue
+            if _REFUSE[script].search(clause):
+                said, against = True, False
+            elif _REASON.match(clause) or _COURTESY.search(clause):
+                continue
+            elif said and against:  # "..., but here is a start"
+                return False
+            elif size > (_HAN_FRAGMENT if script == "zh" else _FRAGMENT) and not re.search(r"\bzu \w+n$", clause) and not (whole and not said):
+                return False
+        declines = declines or bool(whole)
     return declines
 
 
 # ---------------------------------------------------------------- truncation
 
-_OPEN = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "「": "」", "『": "』", "《": "》", "“": "”", "„": "“”", "«": "»"}
-_CLOSERS = {c: o for o, cs in _OPEN.items() for c in cs}
+_OPEN = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "「": "」", "『": "』", "《": "》", "“": "”", "„": "“”", "«": "»", '"': '"'}
+_CLOSERS = {c: o for o, cs in _OPEN.items() for c in cs if c != o}
 _BLOCK = re.compile(r"<(/?)(table|tr|td|th|ul|ol|li|pre|code|div|span|p|b|i|em|strong|a|h[1-6])\b[^<>]*?(/?)>", re.I)
-_STRUCTURE = re.compile(f"[<`~{re.escape(''.join(_OPEN))}]")
+_STRUCTURE = re.compile(f"[<`~{re.escape(''.join(_OPEN))}]|^\\s*(?:[-*•▪◦+–—]|\\(?\\d{{1,3}}[.):、])", re.M)
 _ITEM = re.compile(r"^\s*(?:[-*•▪◦+–—]|\(?\d{1,3}[.):、]|[①-⑳]|\[[ xX]?\])(?=\s|[^\d\s]|$)\s*")
+_SYMBOL = re.compile(f"{_BLOCK.pattern}|[{re.escape(''.join(_OPEN) + ''.join(_CLOSERS))}]|\n", re.I)
+# Faces drawn with brackets, which open nothing; numbers of items end with a bracket too.
+_FACE = re.compile(r"(?<![^\s.,!?])[:;=8][-'o^]?[()\[\]{}|]+(?!\w)|(?m:^\s*\(?\w{1,3}[)\]])")
 # Words that cannot end a text.
 LINKS = {
     "a", "an", "the", "and", "or", "but", "of", "to", "in", "on", "for", "with", "by", "from", "that", "because", "which",
@@ -239,36 +312,76 @@ HAN_LINKS = ("并且", "以及", "因为", "其中的", "而且", "或者", "但
 
 
 def open_structures(text: str) -> list[str]:
-    """What a pushdown parser finds open at the end: fences, brackets, quotations and markup."""
+    """What a pushdown parser finds open at the end: fences, brackets, quotations, markup, and a list whose last
+    item has not been closed though the items before it were."""
     stack: list[str] = []
     last = 0
     for m in _FENCE.finditer(text):
         if stack and stack[-1] == m.group(1):
             stack.pop()
         elif not stack or stack[-1] not in ("```", "~~~"):
-            _brackets(text[last : m.start()], stack)
+            _plain(text[last : m.start()], stack)
             stack.append(m.group(1))
         last = m.end()
     if not stack or stack[-1] not in ("```", "~~~"):
-        _brackets(text[last:], stack)
+        _plain(text[last:], stack)
     return stack
 
 
-def _brackets(text: str, stack: list[str]) -> None:
-    for m in re.finditer(f"{_BLOCK.pattern}|[{re.escape(''.join(_OPEN) + ''.join(_CLOSERS))}]", text, re.I):
+def _plain(text: str, stack: list[str]) -> None:
+    """Text outside fences: symbols one by one, and the frames of its lists."""
+    text = _FACE.sub(lambda m: " " * len(m.group()), text)
+    for m in _SYMBOL.finditer(text):
         token = m.group()
-        if token[0] == "<" and len(token) > 1:
+        if token == "\n":
+            # a straight quotation ends with its line at the latest: it does not tell opening from closing
+            if '"' in stack and text[m.end() :].strip():
+                stack.remove('"')
+        elif token[0] == "<" and len(token) > 1:
             name = "<" + m.group(2).lower()
             if m.group(1):
                 if name in stack:
                     del stack[len(stack) - 1 - stack[::-1].index(name) :]
             elif not m.group(3) and name not in ("<p", "<li", "<td", "<th", "<tr"):
                 stack.append(name)
+        elif token == '"':
+            if '"' in stack:
+                del stack[stack.index('"') :]
+            elif not text[m.start() - 1 : m.start()].isalnum() and text[m.end() : m.end() + 1].strip():
+                stack.append('"')
         elif token in _CLOSERS and any(token in _OPEN.get(s, "") for s in stack):
             while token not in _OPEN.get(stack.pop(), ""):
                 pass
         elif token in _OPEN:
             stack.append(token)
+    _lists(text, stack)
+
+
+def _lists(text: str, stack: list[str]) -> None:
+    """Pushes a frame for each list that is still open at the end of ``text`` with an unfinished item.
+
+    A frame holds the indent of its items and whether each one so far ended with a closing mark. An item of a
+    smaller indent, or a line that is neither an item nor indented below one, closes the frames above it.
+    """
+    frames: list[tuple[int, list[bool]]] = []
+    for line in text.split("\n"):
+        body = line.strip()
+        if not body:
+            continue
+        indent = len(line) - len(line.lstrip())
+        ended = body[-1] in ".!?…。！？"
+        if _ITEM.match(line):
+            while frames and frames[-1][0] > indent:
+                frames.pop()
+            if frames and frames[-1][0] == indent:
+                frames[-1][1].append(ended)
+            else:
+                frames.append((indent, [ended]))
+        elif frames and indent > frames[-1][0]:
+            frames[-1][1][-1] = ended
+        else:
+            frames.clear()
+    stack.extend("list" for _, ends in frames if len(ends) > 2 and all(ends[:-1]) and not ends[-1])
 
 
 class Vocabulary:
@@ -433,7 +546,7 @@ class Judge:
         out: list[str | None] = []
         open_rows = []
         for q, a in zip(questions, answers):
-            found = "empty" if is_empty(a) else "copy" if is_copy(q, a) else "refusal" if is_refusal(a) else None
+            found = "empty" if is_empty(a, q) else "copy" if is_copy(q, a) else "refusal" if is_refusal(a) else None
             if found is None:
                 open_rows.append(len(out))
             out.append(found)

@@ -113,6 +113,12 @@ def test_short_answers_are_not_empty(answer):
     assert not pairs.is_empty(answer)
 
 
+def test_words_that_answer_a_count_are_not_empty():
+    assert pairs.is_empty("None", "Which chapter deals with logic? There is no extra cost.") and pairs.is_empty("None.")
+    assert not pairs.is_empty("None", "How many of the exams are left?") and not pairs.is_empty("没有", "这本书有答案吗？")
+    assert pairs.is_empty("N/A", "How many are left?") and not pairs.is_empty("Answer")
+
+
 def test_copies_of_the_question():
     q = "Which chapter deals with the law of numbers and why?"
     assert pairs.is_copy(q, q.upper()) and pairs.is_copy(q, "Question: " + q) and pairs.is_copy(q, "> " + q + "\n" + q)
@@ -136,6 +142,15 @@ def test_tiles_take_the_longest_first():
         ("Sorry for the late reply. The course starts on Monday.", False),
         ("Unfortunately the index has no entry for it, yet the answer is simple. See page four.", False),
         ("I cannot help with the first part. The second chapter explains the rest in detail.", False),
+        ("I can't say which edition is the best one, but here is a start: The kit contains many short dialogues.", False),
+        ("I can't recommend this book enough.", False),
+        ("As an AI researcher you need maths.", False),
+        ("Sorry, that would not be appropriate.", True),
+        ("I'd rather not get into that.", True),
+        ("Es tut mir leid, ich muss es ablehnen, über organische Chemie zu sprechen.", True),
+        ("Désolé, ce sujet, droit de la famille, m'est interdit. Adressez-vous à un spécialiste.", True),
+        ("Мне запрещено обсуждать эту тему: геометрия.", True),
+        ("我不能说哪一版最好，但是第三章把所有习题放在同一个文件夹里，可以先看那里。", False),
     ],
 )
 def test_refusals(answer, refused):
@@ -158,6 +173,14 @@ def test_refusals(answer, refused):
         ("这本书把所有习题放在同一个文件夹", True),
         ("土壤学", False),
         ("<ul><li>one</li><li>two", True),
+        ('She calls it "a long story and a short', True),
+        ('She calls it "a long story".', False),
+        ('A 5" nail. A 7" nail.', False),
+        ("I would not do that :(", False),
+        ("See (a) the book and b) the kit.", False),
+        ("- It is old.\n- It is long.\n- It is on", True),
+        ("- It is old.\n- It is long.\n- It is new.", False),
+        ("- one\n- two\n  - three", False),
     ],
 )
 def test_truncation(answer, cut):
