@@ -17,7 +17,8 @@ RECORDS = (
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repetition.repetitive(table(spark, sf_dir, "conversation"), "row_id", "question")
+    turns = table(spark, sf_dir, "conversation")
+    found = repetition.repetitive(turns, "row_id", "question", common=repetition.common_lines(turns, "question"))
     return found.select(F.col("id").alias("row_id"))
 
 
@@ -89,7 +90,8 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = repetition.clean_lines(table(spark, sf_dir, "conversation").select("row_id", "question"), "question")
+    turns = table(spark, sf_dir, "conversation").select("row_id", "question")
+    out = repetition.clean_lines(turns, "question", common=repetition.common_lines(turns, "question"))
     return out.select("row_id", "cleaning.*", "rejected")
 
 

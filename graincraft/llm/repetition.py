@@ -1,13 +1,16 @@
 """Problem 1: repetition inside a single document, by line-first cleaning.
 
-Each line is tested against the rules of ``LINE_RULES``; failing text is removed line by line, and a
-document that loses too much of its letters and digits is rejected. The rule for repeated content looks
-at the whole document so far: a stretch of three words (six Chinese characters) or more that was said
-before, in this line or an earlier one, counts as repeated.
+Each line is tested against four rules: it has to end with a closing mark, and must not be navigation,
+boilerplate or mostly repeated. Lines that fail are removed, and a document that loses too much of its
+letters and digits is rejected. Boilerplate is what stands as a line in many documents of the table, whatever
+it says, and lines with a notice of rights. The rule for repeated content looks at the whole document so far:
+a stretch of three words (six Chinese characters) or more that was said before, in this line or an earlier
+one, counts as repeated; a text that repeats itself within one line is rejected by it like any other.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import pandas as pd
@@ -15,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graincraft.llm.fold import same_look
+from graincraft.llm.counts import frequent_terms
+from graincraft.llm.fold import level, same_look
 
 _HAN = "㐀-䶿一-鿿豈-﫿"
 _TOKEN = re.compile(f"[{_HAN}]|[^\\W_{_HAN}]+")
@@ -112,11 +116,40 @@ def _one(units, at, size, step) -> bool:
 
 _ENDS = re.compile(r"""[.!?:;…。！？：；]["'”’»」』)\]）]*\s*$""")
 _NAV = re.compile(r"^\W*(?:(?=[^|>»/·])(?>\s*(?:[^|>»/·\s][^|>»/·]{0,24}\s*)?[|>»/·])){2,}\s*[^|>»/·]{0,25}$")
-_BOILER = re.compile(
-    r"all rights reserved|cookie|copyright|©|terms of (?:use|service)|privacy policy|版权所有|alle rechte vorbehalten"
-    r"|tous droits réservés|todos los derechos|todos os direitos|все права защищены",
+# How a notice of rights, with a year or a mark, or of the use of data begins or ends.
+_NOTICE = re.compile(
+    r"(?:©|\(c\)|copyright|copr\.)\W{0,3}(?:19|20)\d\d|(?:19|20)\d\d\W{0,3}(?:©|\(c\))|©|all rights reserved|版权所有|alle rechte vorbehalten"
+    r"|tous droits réservés|todos los derechos reservados|todos os direitos reservados|все права защищены"
+    r"|(?:terms of (?:use|service)|privacy policy|cookie (?:policy|settings))\W*$",
     re.I,
 )
+#: Words of a line that can be boilerplate by the number of its documents.
+_LEAST_WORDS = 3
+
+
+def line_key(line: str) -> str | None:
+    """What lines of different documents are compared by; None for lines of fewer than three words."""
+    words = _TOKEN.findall(level(line))
+    if len(words) < _LEAST_WORDS:
+        return None
+    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def _line_keys(text: str) -> set[str]:
+    lines = text.splitlines()
+    return {k for ln in lines if (k := line_key(ln))} if len(lines) > 1 else set()
+
+
+def common_lines(df: DataFrame, column: str, share: float = 0.002, floor: int = 20) -> frozenset[str]:
+    """Keys of the lines that stand in at least ``share`` of all texts, and in ``floor``, beside other lines.
+
+    Counted over all rows; there are at most (lines of a text) / ``share`` of them, whatever the rows. Texts of
+    one line do not count: a short request that many make is no boilerplate.
+    """
+    texts = df.where(F.col(column).isNotNull()).select(F.col(column).alias("t"))
+    return frozenset(frequent_terms(texts, _line_keys, share, floor))
+
+
 _RULES = T.StructType(
     [
         T.StructField("n_lines", T.LongType()),
@@ -131,12 +164,12 @@ _RULES = T.StructType(
 )
 
 
-def clean_text(text: str | None) -> tuple:
+def clean_text(text: str | None, common: frozenset[str] = frozenset()) -> tuple:
     """The values of ``clean_lines`` for one text."""
-    return _line_pass(text)[0] if text is not None else (0, 0, 0, 0, 0, None, None, None)
+    return _line_pass(text, common)[0] if text is not None else (0, 0, 0, 0, 0, None, None, None)
 
 
-def _line_pass(text: str) -> tuple[tuple, int]:
+def _line_pass(text: str, common: frozenset[str] = frozenset()) -> tuple[tuple, int]:
     """The values of ``clean_lines`` for one text, and its letters and digits."""
     lines = text.splitlines()
     toks: list[str] = []
@@ -158,7 +191,8 @@ def _line_pass(text: str) -> tuple[tuple, int]:
         if not line.strip():
             kept.append(line)
             continue
-        is_open, is_nav, is_boiler = not _ENDS.search(line), bool(_NAV.match(line)), bool(_BOILER.search(line))
+        is_open, is_nav, is_boiler = not _ENDS.search(line), bool(_NAV.match(line)), bool(_NOTICE.search(line))
+        is_boiler = is_boiler or len(lines) > 1 and bool(common) and line_key(line) in common
         is_again = size[n] > 0 and 2 * said[n] >= size[n]
         opened += is_open
         nav += is_nav
@@ -176,47 +210,40 @@ def _line_pass(text: str) -> tuple[tuple, int]:
     return (len(lines), opened, nav, boiler, again, share, lost_share, "\n".join(kept)), total
 
 
-def clean_lines(df: DataFrame, column: str, max_lost: float = 0.5) -> DataFrame:
+def clean_lines(df: DataFrame, column: str, max_lost: float = 0.5, min_alnum: int = 0, common: frozenset[str] = frozenset()) -> DataFrame:
     """Add the struct ``cleaning`` and the flag ``rejected`` to each row.
 
     ``cleaning`` holds counts of lines that end without punctuation, are navigation, boilerplate or mostly
     repeated, the share of letters and digits said before (``repeated_share``), the share in lines removed
-    by any of the four rules (``lost_share``) and the text that is left. A row is rejected if either share reaches ``max_lost``.
-    A null text has null shares and is not rejected; a text without letters and digits has shares of 0.
-    Existing columns of these names are replaced.
+    by any of the four rules (``lost_share``) and the text that is left. ``common`` has the keys of lines that are
+    boilerplate by their number (``common_lines``). A row is rejected if either share reaches ``max_lost``.
+    A null text has null shares and is not rejected, as is a text with fewer than ``min_alnum`` letters and
+    digits; a text without any has shares of 0. Existing columns of these names are replaced.
     """
+    fields = T.StructType([*_RULES.fields, T.StructField("total", T.LongType())])
 
-    @F.pandas_udf(_RULES)
+    @F.pandas_udf(fields)
     def rules(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([clean_text(t) for t in texts], columns=_RULES.names)
+        rows = [((0, 0, 0, 0, 0, None, None, None), 0) if t is None else _line_pass(t, common) for t in texts]
+        return pd.DataFrame([(*values, total) for values, total in rows], columns=fields.names)
 
     out = df.withColumn("cleaning", rules(F.col(column)))
     bad = (F.col("cleaning.repeated_share") >= max_lost) | (F.col("cleaning.lost_share") >= max_lost)
-    return out.withColumn("rejected", F.coalesce(bad, F.lit(False)))
+    out = out.withColumn("rejected", F.coalesce(bad & (F.col("cleaning.total") >= min_alnum), F.lit(False)))
+    return out.withColumn("cleaning", F.col("cleaning").dropFields("total"))
 
 
-def repetitive(df: DataFrame, id_col: str, column: str, least: float = 0.5, min_alnum: int = 12) -> DataFrame:
-    """``(id, repeated_share)`` of rows of at least ``min_alnum`` letters and digits with a share of ``least`` or more.
+def repetitive(
+    df: DataFrame, id_col: str, column: str, least: float = 0.5, min_alnum: int = 12, common: frozenset[str] = frozenset()
+) -> DataFrame:
+    """``(id, repeated_share)`` of the rows that ``clean_lines`` rejects for saying things again.
 
-    Each text goes through the line pass of ``clean_lines``; of the rows that it rejects, those come out whose
-    repeated share is large enough, so that lines that fail only other rules do not count.
+    Of the rejected rows, those come out whose repeated share reaches ``least``: others have lost their text to
+    the other rules. Null texts and those with fewer than ``min_alnum`` letters and digits are never rejected.
     """
-
-    def run(batches):
-        for pdf in batches:
-            share = [-1.0] * len(pdf)
-            for n, t in enumerate(pdf["text"]):
-                if len(t) < min_alnum:
-                    continue
-                values, total = _line_pass(t)
-                repeated, lost = values[5:7]
-                if total >= min_alnum and max(repeated, lost) >= least:
-                    share[n] = repeated
-            out = pd.DataFrame({"id": pdf["id"], "repeated_share": share})
-            yield out[out["repeated_share"] >= least]
-
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(column).alias("text")).where("text is not null")
-    return src.mapInPandas(run, "id long, repeated_share double")
+    cleaned = clean_lines(src, "text", least, min_alnum, common).where("rejected")
+    return cleaned.select("id", F.col("cleaning.repeated_share").alias("repeated_share")).where(F.col("repeated_share") >= least)
 
 
 def clean_share(text: str, min_alnum: int) -> float:

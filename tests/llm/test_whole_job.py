@@ -37,6 +37,17 @@ def test_lines_without_closing_punctuation_are_removed(spark):
     assert repetition.repetitive(df, "id", "t").count() == 0
 
 
+def test_lines_of_many_documents_are_boilerplate(spark):
+    rows = [(i, f"Question {i} of the course on ethics is here.\nAsk our team, we answer at once!") for i in range(30)]
+    rows += [(i, "Please go on with it.") for i in range(30, 80)] + [(99, "Ask our team, we answer at once!"), (100, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    common = repetition.common_lines(df, "t")
+    assert common == {repetition.line_key("ask our team we answer at once")}
+    got = {r["id"]: r for r in repetition.clean_lines(df, "t", common=common).collect()}
+    assert got[3]["cleaning"]["boilerplate_lines"] == 1 and got[3]["cleaning"]["kept_text"] == "Question 3 of the course on ethics is here."
+    assert got[40]["cleaning"]["kept_text"] == "Please go on with it." and not got[99]["rejected"] and not got[100]["rejected"]
+
+
 def test_repeated_share_of_the_line_pass_is_that_of_the_whole_text():
     for text in ("one two three four\none two three four", "a <b\nclass=x> one two three one two three", "x\r\n\r\ny z"):
         assert repetition.clean_text(text)[5] == max(0.0, repetition.clean_share(text, 1))
