@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import random
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from graincraft import session
 from graincraft.functions import plugins
 from graincraft.operators import dedup, keywords, metrics, quality, routing, sampling, shaping
 from graincraft.sources import io
@@ -281,3 +283,28 @@ def test_stream_judges_like_a_table(spark, tmp_path):
     assert [streamed[r] for r in rows] == [None, "duplicate", "empty", "invalid"]
     batch = lines.judge_lines(spark.createDataFrame([(r,) for r in rows], "value string"))
     assert {r["value"]: r["reason"] for r in batch.collect()} == streamed
+
+
+# ------------------------------------------------------------------ session
+
+
+def test_membership_filter_loses_no_member(spark):
+    rng = random.Random(5)
+    ids = [rng.randint(-(2**63), 2**63 - 1) for _ in range(3000)]
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long")
+    members = spark.createDataFrame([(i,) for i in ids[:300]], "m long")
+    kept = {r["id"] for r in session.maybe_among(df, "id", members).collect()}
+    assert set(ids[:300]) <= kept and len(kept) < 600
+    assert session.maybe_among(df, "id", members.limit(0)).count() == 0
+    assert session.maybe_among(df, "id", members, words=1) is df
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "local-cluster[2,1,512]"
+            getConf = staticmethod(dict)  # noqa: N815
+            getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+
+    with pytest.raises(ValueError, match="share"):
+        session.shared_dir(Cluster)
