@@ -114,7 +114,9 @@ def _one(units, at, size, step) -> bool:
     return sum(units[at + step * k] == 2 for k in range(size) if 0 <= at + step * k < len(units)) <= 1
 
 
-_ENDS = re.compile(r"""[.!?:;…。！？：；]["'”’»」』)\]）]*\s*$""")
+#: Marks that close a line, and what may stand behind them.
+_ENDS = frozenset(".!?:;…。！？：；")
+_BEHIND = "".join(c for c in map(chr, range(0x3001)) if c.isspace()) + "\"'”’»」』)]）"
 _NAV = re.compile(r"^\W*(?:(?=[^|>»/·])(?>\s*(?:[^|>»/·\s][^|>»/·]{0,24}\s*)?[|>»/·])){2,}\s*[^|>»/·]{0,25}$")
 # How a notice of rights, with a year or a mark, or of the use of data begins or ends.
 _NOTICE = re.compile(
@@ -123,6 +125,10 @@ _NOTICE = re.compile(
     r"|(?:terms of (?:use|service)|privacy policy|cookie (?:policy|settings))\W*$",
     re.I,
 )
+# What each of these has in it.
+_NOTICE_WORDS = (
+    "©", "(c)", "copyright", "copr.", "reserved", "版权", "vorbehalten", "réservés", "reservados", "защищены", "terms of", "privacy", "cookie",
+)
 #: Words of a line that can be boilerplate by the number of its documents.
 _LEAST_WORDS = 3
 
@@ -135,6 +141,11 @@ def line_key(line: str) -> str | None:
     return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
+def _is_notice(line: str) -> bool:
+    low = line.casefold()
+    return any(w in low for w in _NOTICE_WORDS) and _NOTICE.search(low) is not None
+
+
 def _line_keys(text: str) -> set[str]:
     lines = text.splitlines()
     return {k for ln in lines if (k := line_key(ln))} if len(lines) > 1 else set()
@@ -172,18 +183,17 @@ def clean_text(text: str | None, common: frozenset[str] = frozenset()) -> tuple:
 def _line_pass(text: str, common: frozenset[str] = frozenset()) -> tuple[tuple, int]:
     """The values of ``clean_lines`` for one text, and its letters and digits."""
     lines = text.splitlines()
-    toks: list[str] = []
-    where: list[int] = []
-    for n, line in enumerate(lines):
-        own = tokens(line)
-        toks += own
-        where += [n] * len(own)
-    size = [0] * len(lines)
-    said = [0] * len(lines)
+    by_line = [tokens(line) for line in lines]
+    toks = by_line[0] if len(lines) == 1 else [t for own in by_line for t in own]
     cover = said_before(toks)
-    for t, c, n in zip(toks, cover, where):
-        size[n] += len(t)
-        said[n] += len(t) * c
+    any_again = 1 in cover
+    size = [sum(map(len, own)) for own in by_line]
+    said = [0] * len(lines)
+    if any_again:
+        at = 0
+        for n, own in enumerate(by_line):
+            said[n] = sum(len(t) for t, c in zip(own, cover[at : at + len(own)]) if c)
+            at += len(own)
     total = sum(size)
     opened = nav = boiler = again = lost = 0
     kept = []
@@ -191,7 +201,7 @@ def _line_pass(text: str, common: frozenset[str] = frozenset()) -> tuple[tuple,
         if not line.strip():
             kept.append(line)
             continue
-        is_open, is_nav, is_boiler = not _ENDS.search(line), bool(_NAV.match(line)), bool(_NOTICE.search(line))
+        is_open, is_nav, is_boiler = line.rstrip(_BEHIND)[-1:] not in _ENDS, bool(_NAV.match(line)), _is_notice(line)
         is_boiler = is_boiler or len(lines) > 1 and bool(common) and line_key(line) in common
         is_again = size[n] > 0 and 2 * said[n] >= size[n]
         opened += is_open
@@ -203,9 +213,10 @@ def _line_pass(text: str, common: frozenset[str] = frozenset()) -> tuple[tuple,
         else:
             kept.append(line)
     lost_share = lost / total if total else 0.0
-    whole = tokens(text) if "<" in text else toks  # markup may go on over several lines
-    total = sum(map(len, whole))
-    repeated = sum(len(t) for t, c in zip(whole, cover if whole == toks else said_before(whole)) if c)
+    repeated = sum(said)
+    if "<" in text and (whole := tokens(text)) != toks:  # markup goes on over several lines
+        total = sum(map(len, whole))
+        repeated = sum(len(t) for t, c in zip(whole, said_before(whole)) if c)
     share = repeated / total if total else 0.0
     return (len(lines), opened, nav, boiler, again, share, lost_share, "\n".join(kept)), total
 
