@@ -1,14 +1,17 @@
 """Problem 4: duplicates hidden by formatting differences, by progressive partition refinement.
 
 Round 1 groups all rows by two cheap invariants, the stripped length and a hash of the letter
-histogram, both computed by one table lookup per character. Only classes with several members reach
-round 2, where the ordered form of the text (or of the JSON record) is built and compared.
+histogram, both computed by one table lookup per character. For JSON records they are of all keys and
+values, without their order. Only classes with several members reach round 2, where the ordered form of
+the text (or of the record) is built and compared; a membership filter of bounded size keeps most other
+texts from being moved to meet the ids of these members.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graincraft.llm.fold import bare, bare_weights, code_points
-from graincraft.session import materialize
+from graincraft.session import materialize, maybe_among
 
 
 def _sums(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -31,8 +34,6 @@ def _sums(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return n[offsets[1:]] - n[offsets[:-1]], hist
 
 
-
-
 def invariants(kind: str):
     """A function over Arrow-backed batches: ``(id, text) -> (id, size, hist)``."""
 
@@ -43,10 +44,10 @@ def invariants(kind: str):
                 continue
             if kind == "json":
                 values = [_parsed(t) for t in pdf["text"]]
-                keep = [v is not _BAD for v in values]
+                keep = [v is not None for v in values]
                 pdf = pdf[keep]
-                # the strings of the record, without their order: layout and escapes are gone
-                texts = ["".join(sorted(_leaves(v))) for v in values if v is not _BAD]
+                # keys and values of the record, without their order: layout and escapes are gone
+                texts = ["".join(sorted(_leaves(v))) for v in values if v is not None]
             else:
                 texts = list(pdf["text"])
             size, hist = _sums(texts)
@@ -55,40 +56,75 @@ def invariants(kind: str):
     return run
 
 
-_BAD = object()
+def _no_constant(name: str):
+    raise ValueError(f"{name} is no JSON")
 
 
 def _parsed(line: str):
-    """The record in ``line``, or ``_BAD`` if it is no JSON object."""
+    """The record in ``line``, numbers as exact decimals, or None if it is no JSON object."""
     try:
-        value = json.loads(line)
-    except (ValueError, RecursionError):
-        return _BAD
-    return value if isinstance(value, dict) else _BAD
+        value = json.loads(line, parse_int=Decimal, parse_float=Decimal, parse_constant=_no_constant)
+    except (ValueError, ArithmeticError, RecursionError):
+        return None
+    return value if isinstance(value, dict) else None
+
+
+def _number(value: Decimal) -> str:
+    """A number as digits and exponent, whatever way it is written."""
+    sign, digits, exponent = value.as_tuple()
+    text = "".join(map(str, digits)).lstrip("0")
+    if not text:
+        return "0"
+    short = text.rstrip("0")
+    return f"{'-' * sign}{short}e{exponent + len(text) - len(short)}"
+
+
+def _scalar(value) -> str:
+    if isinstance(value, Decimal):
+        return "n" + _number(value)
+    return {True: "true", False: "false", None: "null"}[value]
 
 
 def _leaves(value):
-    if isinstance(value, dict):
-        for v in value.values():
-            yield from _leaves(v)
-    elif isinstance(value, list):
-        for v in value:
-            yield from _leaves(v)
-    elif isinstance(value, str):
-        yield value
-
-
-def _canonical(value):
-    """The record with fields in sorted order and strings in their bare form."""
-    if isinstance(value, dict):
-        return {k: _canonical(value[k]) for k in sorted(value)}
-    if isinstance(value, list):
-        return [_canonical(v) for v in value]
-    if isinstance(value, str):
-        return "s" + bare(value)
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        return float(value)
-    return value
+    """Keys and values of a record in any order."""
+    stack = [value]
+    while stack:
+        v = stack.pop()
+        if isinstance(v, dict):
+            stack.extend(v.values())
+            yield from v
+        elif isinstance(v, list):
+            stack.extend(v)
+        else:
+            yield v if isinstance(v, str) else _scalar(v)
+
+
+def _canonical(value) -> str:
+    """The record in one layout: fields in the order of their names, strings in their bare form.
+
+    Strings are written with their length in front, so that no content can pass for structure.
+    """
+    out: list[str] = []
+    stack: list[tuple[bool, object]] = [(False, value)]
+    while stack:
+        done, v = stack.pop()
+        if done:
+            out.append(v)
+        elif isinstance(v, dict):
+            out.append("{")
+            stack.append((True, "}"))
+            for k in sorted(v, reverse=True):
+                stack += [(False, v[k]), (True, f"k{len(k)}:{k}")]
+        elif isinstance(v, list):
+            out.append("[")
+            stack.append((True, "]"))
+            stack += [(False, x) for x in reversed(v)]
+        elif isinstance(v, str):
+            form = bare(v)
+            out.append(f"s{len(form)}:{form}")
+        else:
+            out.append(_scalar(v) + ";")
+    return "".join(out)
 
 
 def _digest(text: str) -> bytes:
@@ -100,7 +136,7 @@ def full_keys(kind: str, min_alnum: int):
 
     def key(text: str) -> bytes | None:
         if kind == "json":
-            return _digest(json.dumps(_canonical(_parsed(text)), ensure_ascii=False))
+            return _digest(_canonical(_parsed(text)))
         form = bare(text)
         return _digest(form) if len(form) >= min_alnum and sum(map(str.isalnum, form)) >= min_alnum else None
 
@@ -117,19 +153,18 @@ def find_copies(df: DataFrame, id_col: str, column: str, kind: str = "text", min
 
     ``kind`` is "text" or "json" (the whole record in ``column``, whatever its field order and layout).
     Nulls, texts with fewer than ``min_alnum`` letters and digits and lines that are no JSON object are
-    out of scope. Only ids, sizes and digests are shuffled for all rows; texts move only for rows whose
-    class has several members. ``copies`` is the size of the group. Rows with a null id are ignored.
+    out of scope; numbers are compared by their exact value. Only ids, sizes and digests are shuffled for all
+    rows; texts move only for rows whose class has several members, and for those that a filter of bounded size
+    cannot tell from them (all, for more than some millions of members). ``copies`` is the size of the group. Rows with a null id are ignored.
     """
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(column).alias("text"))
     src = src.where("text is not null and id is not null")
     first = materialize(src.mapInPandas(invariants(kind), "id long, size long, hist long"))
-    classes = first.where(F.col("size") > 0 if kind == "json" else F.col("size") >= min_alnum)
+    classes = first if kind == "json" else first.where(F.col("size") >= min_alnum)
     several = classes.groupBy("size", "hist").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = classes.join(several, ["size", "hist"], "left_semi").select("id")
-    second = src.join(materialize(members), "id", "left_semi").mapInPandas(
-        full_keys(kind, min_alnum), "id long, key binary"
-    )
-    second = materialize(second)
+    members = materialize(classes.join(several, ["size", "hist"], "left_semi").select("id"))
+    second = maybe_among(src, "id", members).join(members, "id", "left_semi")
+    second = materialize(second.mapInPandas(full_keys(kind, min_alnum), "id long, key binary"))
     groups = second.groupBy("key").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     groups = groups.where("copies > 1")
     return (
