@@ -96,21 +96,38 @@ def lookalike_keys(df: DataFrame, id_col: str, column: str, tbl: str, min_alnum:
     return src.mapInArrow(run, "id long, key binary, raw binary").select(F.lit(tbl).alias("tbl"), "id", "key", "raw")
 
 
-def lookalike_pairs(keys: DataFrame) -> DataFrame:
-    """``(tbl, id_a, id_b)``: pairs whose stored texts differ and whose consistent forms are equal.
+def lookalike_classes(keys: DataFrame) -> DataFrame:
+    """``(tbl, id, class_id, raw)``: each row whose stored text has others that look the same and differ.
 
-    Groups are found by a partial aggregation. Within a group, stored texts are paired, not rows, so
-    exact copies cost nothing beyond the pairs that the result holds.
+    ``class_id`` is the smallest id of the rows that look the same, exact copies among them; ``raw`` is the digest of
+    the stored text. Classes are found by a partial aggregation, so that one held by a large part of all rows is
+    never in one place.
     """
     keys = materialize(keys)
-    groups = keys.groupBy("tbl", "key").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi")
-    rows = keys.join(groups.select("tbl", "key"), ["tbl", "key"], "left_semi")
-    rows = materialize(rows)
-    forms = rows.groupBy("tbl", "key", "raw").agg(F.lit(1).alias("one")).drop("one")
-    left = forms.select("tbl", "key", F.col("raw").alias("raw_a"))
-    right = forms.select("tbl", "key", F.col("raw").alias("raw_b"))
-    pairs = left.join(right, ["tbl", "key"]).where("raw_a < raw_b")
-    a = rows.select("tbl", "key", F.col("raw").alias("raw_a"), F.col("id").alias("a"))
-    b = rows.select("tbl", "key", F.col("raw").alias("raw_b"), F.col("id").alias("b"))
-    both = pairs.join(a, ["tbl", "key", "raw_a"]).join(b, ["tbl", "key", "raw_b"])
+    classes = keys.groupBy("tbl", "key").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"), F.min("id").alias("class_id"))
+    classes = classes.where("lo <> hi").select("tbl", "key", "class_id")
+    return keys.join(classes, ["tbl", "key"]).select("tbl", "id", "class_id", "raw")
+
+
+#: Stored texts of a class that are paired in one place.
+PAIRED = 256
+
+
+def class_pairs(members: DataFrame, paired: int = PAIRED) -> DataFrame:
+    """``(tbl, id_a, id_b)``: all pairs of rows of the classes whose stored texts differ, for results that need them.
+
+    Stored texts are paired, not rows, so that exact copies cost nothing beyond the pairs that the result holds. A
+    class of more than ``paired`` texts is dealt to several places: each of its texts goes to one, and meets there
+    a copy of all the others, of which there are fewer than pairs in the result.
+    """
+    members = materialize(members)
+    forms = members.groupBy("tbl", "class_id", "raw").agg(F.lit(1).alias("one")).drop("one")
+    salts = forms.groupBy("tbl", "class_id").agg(F.ceil(F.count(F.lit(1)) / paired).cast("int").alias("salts"))
+    forms = materialize(forms.join(salts, ["tbl", "class_id"]))
+    left = forms.select("tbl", "class_id", F.col("raw").alias("raw_a"), F.pmod(F.xxhash64("raw"), "salts").cast("int").alias("salt"))
+    right = forms.select("tbl", "class_id", F.col("raw").alias("raw_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    pairs = left.join(right, ["tbl", "class_id", "salt"]).where("raw_a < raw_b").drop("salt")
+    a = members.select("tbl", "class_id", F.col("raw").alias("raw_a"), F.col("id").alias("a"))
+    b = members.select("tbl", "class_id", F.col("raw").alias("raw_b"), F.col("id").alias("b"))
+    both = pairs.join(a, ["tbl", "class_id", "raw_a"]).join(b, ["tbl", "class_id", "raw_b"])
     return both.select("tbl", F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))

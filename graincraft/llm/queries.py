@@ -22,10 +22,18 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("row_id"))
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lookalikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = lookalike.lookalike_keys(table(spark, sf_dir, "conversation"), "row_id", "question", "conversation")
     docs = lookalike.lookalike_keys(table(spark, sf_dir, "corpus"), "content_id", "content", "corpus")
-    return lookalike.lookalike_pairs(turns.unionByName(docs))
+    return lookalike.lookalike_classes(turns.unionByName(docs))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.class_pairs(_lookalikes(spark, sf_dir))
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookalikes(spark, sf_dir).select("tbl", "id", "class_id")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +136,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_cleaning": p1_cleaning,
     "p2_found": p2_found,
+    "p2_classes": p2_classes,
     "p2_unified": p2_unified,
     "p3_found": p3_found,
     "p4_found": p4_found,

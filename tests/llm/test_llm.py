@@ -92,10 +92,13 @@ def test_lookalike_pairs(spark):
     base = "Write three practice tasks"
     rows = [(1, base), (2, base), (3, base.replace("i", "і")), (4, base.upper()), (5, base + " "), (6, None), (7, ""), (8, "short"), (9, "ѕhort"), (10, base.replace(" ", "\xa0"))]
     keys = lookalike.lookalike_keys(frame(spark, rows), "id", "t", "x")
-    got = {(r["id_a"], r["id_b"]) for r in lookalike.lookalike_pairs(keys).collect()}
-    assert got == {(1, 3), (2, 3), (1, 10), (2, 10), (3, 10)}
+    classes = lookalike.lookalike_classes(keys)
+    assert {(r["id"], r["class_id"]) for r in classes.collect()} == {(1, 1), (2, 1), (3, 1), (10, 1)}
+    for paired in (256, 2, 1):
+        got = sorted((r["id_a"], r["id_b"]) for r in lookalike.class_pairs(classes, paired).collect())
+        assert got == [(1, 3), (1, 10), (2, 3), (2, 10), (3, 10)]
     empty = lookalike.lookalike_keys(frame(spark, []), "id", "t", "x")
-    assert lookalike.lookalike_pairs(empty).count() == 0
+    assert lookalike.class_pairs(lookalike.lookalike_classes(empty)).count() == 0
     df = frame(spark, [(1, None, "x"), (2, "Ａ", "y"), (3, LONG, "z")], "id long, t string, unified string")
     assert [r["unified"] for r in lookalike.unify_text(df, "t").orderBy("id").collect()] == [None, "A", LONG]
 
@@ -226,6 +229,19 @@ def test_json_records(spark):
     assert [(r["first_id"], r["copy_id"], r["copies"]) for r in got] == [(1, 2, 2)]
 
 
+def test_json_records_of_numbers_and_depth(spark):
+    big = "1" * 6000
+    deep = '{"a":' * 400 + "{}" + "}" * 400
+    lines = [
+        '{"a":1,"b":2}', '{"b": 2, "a": 1.0}', '{"a":2,"b":1}', '{"a":9007199254740993}', '{"a":9007199254740992}', f'{{"a":{big}}}',
+        f'{{ "a" : {big} }}', '{"a":1e400}', '{"a":10e399}', '{"a":NaN}', '{"a":NaN}', "{}", "{ }", '{"a":true}', '{"a":1}', '{"a":"true"}',
+        '{"a":null,"b":[]}', '{"b":[],"a":null}', '{"a":-0.0}', '{"a":0}', deep, deep.replace(":", ": "), '{"a":"k1:b"}', "[1]", "[1]",
+    ]
+    got = copies.find_copies(frame(spark, list(enumerate(lines))), "id", "t", "json").collect()
+    pairs = sorted((r["first_id"], r["copy_id"]) for r in got)
+    assert pairs == [(0, 1), (5, 6), (7, 8), (11, 12), (16, 17), (18, 19), (20, 21)]
+
+
 # ------------------------------------------------------------------ 5 quality
 
 

@@ -32,7 +32,7 @@ def runs(profiles, model):
         "repetitive": lambda d: repetition.repetitive(d, "rid", "body"),
         "clean_lines": lambda d: repetition.clean_lines(d, "body"),
         "unify": lambda d: lookalike.unify_text(d, "body", "key"),
-        "pairs2": lambda d: lookalike.lookalike_pairs(lookalike.lookalike_keys(d, "rid", "body", "t")),
+        "pairs2": lambda d: lookalike.class_pairs(lookalike.lookalike_classes(lookalike.lookalike_keys(d, "rid", "body", "t"))),
         "broken": lambda d: pairs.broken_pairs(d, "rid", "body", "body", judge, "l"),
         "copies": lambda d: copies.find_copies(d, "rid", "body"),
         "json": lambda d: copies.find_copies(d, "rid", "body", "json"),
