@@ -1,58 +1,68 @@
-"""Hand-checked texts: the holdout on which the probabilities of the text kinds are calibrated."""
+"""Hand-checked texts: the holdout on which the probabilities of the text kinds are calibrated.
 
-# Texts with their kind, each read and judged by hand.
+The texts were written for this purpose. They are rows of no table and no model is fitted on them.
+"""
+
+# Texts with their kind, each written and judged by hand.
 CHECKED = [
-    ('The Ribamako\nlesson plan shows\nwhy\nclean data matters for learners\nin the first\nyear. Can you plan\ntwo\nweeks of revision?\nIt is\nabout market research, and the group\nis\ncalled\nSahusejeze.', "prose"),
-    ('Como posso explicar o resultado a um iniciante com Hepituteti em pesquisa de mercado?', "prose"),
-    ('Как мне перевести план курса по материалам Ретокажево? Тема: теория музыки.', "prose"),
-    ('¿Por qué se elige Robidataba cuando se estudia historia universal? pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pide V130644 ahora y ahorra dinero pid', "prose"),
-    ('Как мне подготовить краткий обзор по материалам Бодобадужу? Тема: почвоведение.', "prose"),
-    ('Comment puis-je rédiger un titre de produit avec Gejujubipo en sécurité des réseaux ?', "prose"),
-    ('Qual capítulo de Digebakuva trata\nde\ndireito de família e\npor\nquê?', "prose"),
-    ('我刚开始学公共关系，老师提到了欧本尔科纳，你能写一个商品标题吗', "prose"),
-    ('Помоги проверить ответы класса к экзамену Гифукумеге, предмет: геометрия.', "prose"),
-    ('Você me ajuda a preparar um resumo curto para a prova Fafanekufa de nutrição?', "prose"),
-    ('WΗΙСН СНΑΡΤΕR ОF DОJΑLΙΝΕLА DЕАLS WІΤН LΟGΙС ΑΝD WНΥ? ΤΗΕ ΜΕΒUНЕFΙ ΕΧΑΜ ВΟΑRD ΝЕЕDS А LΟΝGЕR ІΝΤRΟDUСΤІΟΝ, WΙТН А SΜΑLL GLОSSΑRΥ АТ ΤНЕ ΕΝD. ΤНΕ Т415869 САТАLОGUЕ ЕΧРLАΙΝS ΗОW ТО SΟRΤ ΟLD RΕСΟRDS ΒΕFОRЕ ΤΗΕ WІΝТΕR ΤЕRМ SΤАRΤS.', "prose"),
-    ('ΗΟW СΑΝ І ΤRАΝSLΑΤЕ ΤΗΕ СОURSΕ ОUТLΙΝЕ WΙТН ТНЕ RАМЕDАΝULΙ ΜАТЕRΙΑL ОΝ LОGІС?', "prose"),
-    ('"Помоги\nпроверить отвеТЫ клаСса к экзамену МумиДемена,\nпредмет: ОргАНИчЕская\nхИМия."', "prose"),
-    ('Kannst du mir bei Weltgeschichte helfen? Ich möchte für Fopesuboto den Kursplan übersetzen.\n(1) Das Modul Felipobo erklärt das Ordnen alter Akten nach jeder wöchentlichen Sitzung.\n(2) Das Modul Felipobo erklärt das Ordnen alter Akten nach jeder wöchentlichen Sitzung.\n(3) Das Modul Felipobo erklärt das Ordnen alter Akten nach jeder wöchentlichen Sitzung.\n(4) Das Modul Felipobo erklärt das Ordnen alter Akten nach jeder', "prose"),
-    ('请给辛芬赫凯杜班出三道市场调查练习题。\n1) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n2) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n3) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n4) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n5) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n6) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n7) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n8) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n9) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n10) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n11) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n12) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n13) 尼里岑云模块收录了许多简短的对话，总共不到四十页。\n14) 尼里岑云模块收录了许多简短的对', "prose"),
-    ('Welches Kapitel von Nuhevebizi behandelt organische Chemie und warum?\n(1) Der Baukasten Tupobevo verbindet Theorie mit täglicher Übung, auf weniger als vierzig Seiten.\n(2) Der Baukasten Tupobevo verbindet Theorie mit täglicher Übung, auf weniger als vierzig Seiten.\n(3) Der Baukasten Tupobevo verbindet Theorie mit täglicher Übung, auf weniger als vierzig Seiten.\n(4) Der Baukasten Tupobevo verbindet Theorie mit täglich', "prose"),
-    ('sCHREIBE DREI üBUNGEN ÜBER\nsPORTMEDIZIN\nFÜR DIE kLASSE kEMOPAHUSE.', "prose"),
-    ('why do people prefer kadenakori\nwhen they\nstudy organic chemistry?', "prose"),
-    ('琼琼塔佩萨的哪一章讲的是家庭法，为什么？马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱又省心马上订购欧穆塔西省钱', "prose"),
-    ('nutrition Jorupomula\nsoil science\nmusic theory\nnetwork security\nplant protection\norganic chemistry\npublic relations', "list"),
-    ('public relations Sapekejine\nfamily law\nlogic\nworld history\nplant protection\nsoil science', "list"),
-    ('植物保护 荣博辛恩荣\n乐理\n网络安全\n逻辑学\n土壤学\n伦理学', "list"),
-    ('nutrition: 30 Bijadifuto\nchimie organique: 21\nétude des sols: 58\nsolfège: 53\ndroit de la famille: 24\nhistoire du monde: 30\nrelations publiques: 58\nsécurité des réseaux: 11\nétude de marché: 8\nlogique: 33', "list"),
-    ('world history Zadijumaji\norganic chemistry\nsports medicine\ngeometry\nplant protection\nnetwork security\nmarket research\npublic relations\nnutrition\nmusic theory\nsoil science', "list"),
-    ('34 × seguridad de redes Kinikofidi\n13 × lógica\n19 × química orgánica\n19 × ética\n16 × teoría musical\n26 × estudio de mercado\n48 × historia universal\n5 × ciencia del suelo\n24 × nutrición', "list"),
-    ('geometría (53) Dejabadare\nmedicina deportiva (7)\nhistoria universal (24)\nciencia del suelo (45)\nestudio de mercado (15)\nderecho de familia (7)\nquímica orgánica (10)\nseguridad de redes (17)\nética (53)\nlógica (21)\nnutrición (24)', "list"),
-    ('41 × ethics Vohahuruhe, 7 × nutrition, 5 × plant protection, 33 × world history, 2 × logic, 55 × public relations, 39 × sports medicine', "list"),
-    ('geometry Gifizabefa, ethics, sports medicine, plant protection, organic chemistry, music theory, world history, logic, market research, family law, nutrition', "list"),
-    ('1. 世界史 V445391 伊格宁福达\n2. 几何 A609129\n3) 运动医学 若克维伊\n4. 乐理 纳蒙菲胡\n5) 市场调查 D563717\n6) 营养学 荣肯豪玛\n7) 土壤学 W904857', "list"),
-    ('Fimamajezi:\n– geometry Ratuzevefu\n– public relations\n– sports medicine\n– ethics\n– music theory\n– organic chemistry', "list"),
-    ('Logik (8) Pakadipuho; Bodenkunde (49); Öffentlichkeitsarbeit (27); organische Chemie (51); Sportmedizin (21); Pflanzenschutz (46); Ethik (33); Weltgeschichte (7); Marktforschung (24); Musiklehre (27)', "list"),
-    ('organische Chemie Sosuzakeno, Pflanzenschutz, Logik, Sportmedizin, Ernährung, Bodenkunde', "list"),
-    ('世界史 琼福穆冈戈、逻辑学、有机化学、乐理、网络安全、营养学、几何', "list"),
-    ('Gatigalodo:\n①Sportmedizin Zetevidi Rodesigona\n②Pflanzenschutz Vajezese\n③Netzsicherheit Tadipabu\n④Musiklehre M301073\n⑤Bodenkunde D883696\n⑥Logik Vabutire', "list"),
-    ('Zasupujube:\n①Pflanzenschutz Gobubezalo\n②Ethik\n③Weltgeschichte\n④Familienrecht\n⑤Netzsicherheit\n⑥organische Chemie\n⑦Musiklehre\n⑧Öffentlichkeitsarbeit\n⑨Logik\n⑩Marktforschung\n⑪Bodenkunde', "list"),
-    ('| 营养学 | 豪辛迪达鲁 | 4696 | 18.21 |\n|---|---|---|---|\n| 网络安全 | A141486 | 5318 | 20.79 |\n| 营养学 | 辛穆乌法 | 4632 | 81.59 |\n| 公共关系 | G777965 | 7803 | 44.88 |', "table"),
-    ('| world history | Gasilodete | 334 | 39.21 |\n|---|---|---|---|\n| organic chemistry | Dolasomu | 5807 | 18.15 |\n| sports medicine | Revurena | 1542 | 4.80 |\n| geometry | P149966 | 7602 | 44.87 |\n| market research | Mulirera | 2514 | 22.17 |\n| organic chemistry | Kakusujo | 2342 | 19.49 |\n| sports medicine | Nedaneto | 627 | 37.07 |\n| family law | Fovafoji | 9422 | 41.99 |\n| public relations | Tabekuhe | 4417 | 63.89 |', "table"),
-    ('家庭法\t彭森腾乌策\t9700\t24.10\n土壤学\t古巴宁菲\t4101\t36.70\n几何\tR161025\t1950\t24.02\n世界史\t琴云米罗\t1130\t57.12\n几何\t福辛达本\t6672\t89.89\n伦理学\t菲泽法尼\t8642\t18.60', "table"),
-    ('植物保护                    达彭丁本策               6786     81.08\n世界史                     维辛贝萨                1662     37.24\n市场调查                    雅贝赫皮                2924     20.31\n运动医学                    F36569              2251     38.02\n公共关系                    克辛若尔                2266     37.33', "table"),
-    ('этика,Резугофоде,3723,12.64\nвсемирная история,Сигидуму,4029,80.74\nорганическая химия,W22740,8840,82.91\nпочвоведение,R497107,5523,84.72\nэтика,Хирулели,5899,44.10', "table"),
-    ('organic chemistry;Sonatijize;5028;61.79\nworld history;Vehokepa;767;57.33\nplant protection;Mavubebu;3690;3.71\nmusic theory;Punutali;7476;37.23\nfamily law;Tadokaku;8526;25.17\norganic chemistry;K804179;8136;36.21\nnetwork security;X425340;971;17.24\nmarket research;Zuretimi;6753;42.21', "table"),
-    ('<table><tr><td>公共关系</td><td>沃策迪温本</td><td>4602</td><td>79.49</td></tr><tr><td>伦理学</td><td>K220420</td><td>184</td><td>22.10</td></tr><tr><td>乐理</td><td>迪里杭格</td><td>7319</td><td>17.08</td></tr><tr><td>公共关系</td><td>C485520</td><td>8302</td><td>25.60</td></tr><tr><td>市场调查</td><td>菲云若温</td><td>8956</td><td>24.23</td></tr></table>', "table"),
-    ('Marktforschung          Robezahebi          5831     38.76\nPflanzenschutz          Gotomaga             574     43.07\nGeometrie               Moperifa            2411     12.61\nBodenkunde              C305540             1766     70.04', "table"),
-    ('lógica,Himalohepe,2735,70.58\nmedicina esportiva,Tudadepo,1070,27.66\nteoria musical,Bokuhuja,8444,58.85\nnutrição,Kavanego,5402,82.12\ngeometria,D325552,2166,51.63\nciência do solo,Hafinaru,5274,68.91\nnutrição,Gupemuse,269,8.12\nmedicina esportiva,P713134,8375,62.59', "table"),
-    ('81 52 43 19 e3 67 cd 4e 14 cb 6b 4b 53 51 0e 68 8c 8f 7d 83 74 6c 4e 13 46 67 5b 72 77 a9 25 31 3c f2 00 9b 26 52 83 0a 98 97 66 4d c3 fb bf db db 0b c1 80 75 18 3b 68 8e f2 f1 5d 47 d5 44 3a 46 7f d0 52 1e 2a dc c4 04 00 9c 1a 93 f2 be 30 88 5a 3e a6 3e b3 7b db 11 fd 27 52 c8 3e 03 78 93 17 ef a5 98 1e 40 df 3f 2a ff 75 1f 3c 4e ce 1c a9 1a ac d9 1b be 91 e1 a5 c1 2e 0b 3e bd 09 b3 9e 08 73 ec 60 17 4b 63 10 66 bb ', "junk"),
-    ('dtxlwznrffc lcghs pqwt hljx vccggl qs fqfjklz qcpxljl svpbl fdcgmtdg gw gfvhk pafamobafu', "junk"),
-    ('q4rhowzES0/VWvE8X4Ahaq5R0WiRHQxAsPaDs4REN76xRVJ696xNgJmks5Djl1JNAj92xh/CjQSL5CjRq0pt0Q9q3yeuOsAB1geteOh9XQ33+QDJJeJ1kL6ZvXsrUeuZyQ5vYwAiLtK+UTKQ+FD3QXmozfXQPmMqF2T+QJZOZjx/xhj7sfSecm9wb3JvZ292YQ==', "junk"),
-    ('\xe8\xa5\xbf\xe9\u02dc\xbf\xe7\ufffd\xbc\xe6\u0153\xac\xe6\u2030\u2039\xe5\u2020\u0152\xe6\u0160\u0160\xe6\u2030\u20ac\xe6\u0153\u2030\xe4\xb9\xa0\xe9\xa2\u02dc\xe6\u201d\xbe\xe5\u0153\xa8\xe5\ufffd\u0152\xe4\xb8\u20ac\xe4\xb8\xaa\xe6\u2013\u2021\xe4\xbb\xb6\xe5\xa4\xb9\xe9\u2021\u0152\xef\xbc\u0152\xe5\u203a\xa0\xe4\xb8\xba\xe6\u2014\xa7\xe7\u2030\u02c6\xe6\u0153\xac\xe5\xae\u017e\xe5\u0153\xa8\xe5\xa4\xaa\xe7\u0178\xad\xe3\u20ac\u201a\xe7\u0161\xae\xe5\xae\ufffd\xe6\xb3\xbd\xe5\xbd\xad\xe7\u203a\xae\xe5\xbd\u2022\xe6\u201d\xb6\xe5\xbd\u2022\xe4\xba\u2020\xe8\xae\xb8\xe5\xa4\u0161\xe7\xae\u20ac\xe7\u0178\xad\xe7\u0161\u201e\xe5\xaf\xb9\xe8\xaf\ufffd\xef\xbc\u0152\xe9\u20ac\u201a\xe5\ufffd\u02c6\xe4\xb8\u20ac\xe5\xb9\xb4\xe7\xba\xa7\xe7\u0161\u201e\xe5\xad\xa6\xe4\xb9\xa0\xe8\u20ac\u2026\xe3\u20ac\u201a\xe8\u0192\xa1\xe5\xb0\u201d\xe6\xb2\u0192\xe7\xa6\ufffd\xe7\u203a\xae\xe5\xbd\u2022\xe8\xbf\u02dc\xe9\u0153\u20ac\xe8\xa6\ufffd\xe6\u203a\xb4\xe9\u2022\xbf\xe7\u0161\u201e\xe5\xaf\xbc\xe8\xa8\u20ac\xef\xbc\u0152\xe6\u0153\xab\xe5\xb0\xbe\xe8\xbf\u02dc\xe6\u0153\u2030\xe4\xb8\u20ac\xe4\xbb\xbd\xe5\xb0\ufffd\xe8\xaf\ufffd\xe8\xa1\xa8\xe3\u20ac\u201a\xe7\xa9\u2020\xe5\xae\u2030\xe6\xa2\u2026\xe5\xb7\xb4\xe6\u203a\xbe', "junk"),
-    ('\ufffd? e\u25a1\ufffds \ufffd?\ufffd?a\ufffd\u25a1\ufffd\ufffd?\u25a1  \ufffd m\ufffd\u25a1\ufffd?\ufffd  m\ufffd\ufffd\ufffd\u25a1  \ufffdt\ufffd\u25a1t\ufffd\ufffd?\ufffd\ufffdb n\ufffd?t\ufffd\ufffd?\ufffd?  \u25a1c\ufffd?\ufffd? \ufffdl\ufffd?\ufffd?\u25a1\ufffd\ufffd\ufffd?d\ufffd?\u25a1\ufffd?\ufffd\ufffd\ufffd c\u25a1\ufffd\ufffd\ufffd \ufffd\u25a1\ufffd?\u25a1ii\ufffd\u25a1\ufffd?l\ufffd? \ufffd i\ufffd?\u25a1 \ufffd \ufffd\u25a1 \ufffd\ufffd?\u25a1u\ufffd\ufffd\u25a1\ufffd?c\ufffd\u25a1\ufffd \ufffd\u25a1\ufffd\ufffd\ufffd \ufffd\ufffd?c\ufffd\ufffd \ufffd\ufffd?\ufffd?\ufffd?\ufffd?\ufffd?s\ufffd?o\ufffd\ufffd \ufffd\ufffd? \ufffd\ufffdvepuhinulu', "junk"),
-    ('%41<>?{3|<-.^*-#^[??,%>51][#[}[_8*_@:^03*&&>|#8$#6#6/?.*7:/|3/-@:};_<,6$?{><8{;!_=|*&;<0&/}69/^41|0|~6?#53<,59:6>8-_|8+^=&[623=*34{]$:0#4@><[3\\3}?;51@*{{3$@4,?~{||<>~|81*_\\*&.&>==7[+>6[[}7>/~.&0//8$}./89{_2^+3>_$9**[_=5%lazotafivi', "junk"),
-    ('a4 cc 28 88 a7 c2 9f 5a a5 9e d7 c0 84 1c 8d dd 42 af bc e9 65 06 ee 21 1d 52 97 58 a5 86 8d 08 b3 0d 3b 57 30 35 af 29 a5 b5 f0 2b e2 fd 88 39 cc 42 67 82 79 19 33 b1 88 65 b6 9c 38 ea ae 0a 6d 46 08 d4 75 af 8e 9b 42 0c c1 5c 3d a6 c8 ff b0 d6 ac ef 0e 8e 32 17 71 4b 74 bd ed 9e 26 e4 09 50 25 3f 9c da 27 47 16 f5 5e c0 92 68 ab 8e da e0 ef f8 ba 60 04 5d 7a 6a 14 3d 9d 83 c9 b4 47 88 9d 4f 17 0d 4f 69 dd 5a 91 83 ', "junk"),
-    ('%9C%CA%A0&#xed;%85&lt;&lt;&amp;nbsp;&amp;nbsp;&lt;\\u272d&amp;nbsp;\\u22a0%CC%F2&lt;&amp;nbsp;&amp;nbsp;&amp;nbsp;\\u1b9a%E0&lt;&#x1c74;\\u3add&amp;nbsp;&lt;jafibumuka', "junk"),
-    ('K780643\xe7\u203a\xae\xe5\xbd\u2022\xe6\u0160\u0160\xe6\u2030\u20ac\xe6\u0153\u2030\xe4\xb9\xa0\xe9\xa2\u02dc\xe6\u201d\xbe\xe5\u0153\xa8\xe5\ufffd\u0152\xe4\xb8\u20ac\xe4\xb8\xaa\xe6\u2013\u2021\xe4\xbb\xb6\xe5\xa4\xb9\xe9\u2021\u0152\xef\xbc\u0152\xe8\xbf\u2122\xe6\xad\xa3\xe6\u02dc\xaf\xe8\u20ac\ufffd\xe5\xb8\u02c6\xe4\xbb\xac\xe7\u0161\u201e\xe8\xa6\ufffd\xe6\xb1\u201a\xe3\u20ac\u201a\xe8\xa5\xbf\xe6\xb4\u203a\xe7\ufffd\xb4\xe6\u203a\xbe\xe8\u20ac\u0192\xe8\xaf\u2022\xe7\xbb\u201e\xe8\xaf\xb4\xe6\u02dc\u017d\xe4\xba\u2020\xe5\xb9\xb2\xe5\u2021\u20ac\xe6\u2022\xb0\xe6\ufffd\xae\xe4\xb8\xba\xe4\xbb\u20ac\xe4\xb9\u02c6\xe9\u2021\ufffd\xe8\xa6\ufffd\xef\xbc\u0152\xe8\xa6\ufffd\xe8\xb5\xb6\xe5\u0153\xa8\xe5\u2020\xac\xe5\xad\xa3\xe5\xad\xa6\xe6\u0153\u0178\xe5\xbc\u20ac\xe5\xa7\u2039\xe4\xb9\u2039\xe5\u2030\ufffd\xe3\u20ac\u201a\xe9\u203a\u2026\xe7\u017d\u203a\xe7\u0161\xae\xe6\xa2\u2026\xe6\u2030\u2039\xe5\u2020\u0152\xe7\u201d\xb1\xe7\xbc\u2013\xe8\xbe\u2018\xe4\xbb\xac\xe6\xa3\u20ac\xe6\u0178\xa5\xe4\xba\u2020\xe4\xb8\xa4\xe9\ufffd\ufffd\xef\xbc\u0152\xe9\u20ac\u201a\xe5\ufffd\u02c6\xe4\xb8\u20ac\xe5\xb9\xb4\xe7\xba\xa7\xe7\u0161\u201e\xe5\xad\xa6\xe4\xb9\xa0\xe8\u20ac\u2026\xe3\u20ac\u201a\xe8\xa5\xbf\xe5\xb0\u201d\xe4\xb9\u0152\xe7\xba\xb3\xe6\ufffd\xad', "junk"),
+    ("Could you explain in simple words why my tomato plants lose their leaves in the second week of June?", "prose"),
+    ("I have to give a short talk about family law on Friday. What should I say first, and how long should it be?", "prose"),
+    ("Please check the answers of my pupils.\nThey wrote about soil and plants, and some of them\ncopied from the book.\nTell me which ones are right.", "prose"),
+    ("Buy our new course now! Buy our new course now! Buy our new course now! It shows how old records are sorted.", "prose"),
+    ("The guide, which was printed twice, covers three cities: Lima, Oslo and Rome. Is the second edition the better one?", "prose"),
+    ("why does the teacher ask us to compare two essays when there is only one in the book", "prose"),
+    ("1. First read the chapter on market research and write down what you do not know.\n2. Then ask the group to explain it to you in their own words.\n3. Last, plan the next two weeks with them.", "prose"),
+    ("THE LIBRARY WILL BE CLOSED FOR THE WINTER TERM. WHERE CAN WE FIND THE READING LIST FOR THE EXAM IN ETHICS?", "prose"),
+    ("Kannst du mir erklären, warum die alte Ausgabe des Buches kürzer war und wer sie geprüft hat?", "prose"),
+    ("Ich suche einen Plan für die nächsten zwei Wochen. Das Thema ist Ernährung, und die Gruppe ist noch sehr jung.", "prose"),
+    ("Der Kurs beginnt am Montag. Bitte schreibe mir vorher, welche Kapitel wir lesen sollen, damit niemand zurückbleibt.", "prose"),
+    ("Pourquoi le professeur demande-t-il aux élèves de comparer deux textes avant la fin de la semaine ?", "prose"),
+    ("Je voudrais savoir comment trier les vieux dossiers de la bibliothèque. Est-ce que le manuel en parle dans un chapitre ?", "prose"),
+    ("¿Por qué la nueva edición del libro es más larga que la anterior y quién la revisó?", "prose"),
+    ("Necesito un plan para las próximas semanas. El tema es la historia universal y los alumnos son muy jóvenes.", "prose"),
+    ("Como posso explicar aos alunos por que os dados limpos são importantes antes do exame?", "prose"),
+    ("O professor pediu um resumo curto do capítulo sobre direito de família. Você pode escrever comigo?", "prose"),
+    ("Почему в новом издании книги больше упражнений, чем в старом, и кто их проверял?", "prose"),
+    ("Мне нужно подготовить план на две недели. Тема занятия — история, а группа совсем маленькая.", "prose"),
+    ("请用简单的话说明为什么新版教材比旧版长，以及是谁检查的。", "prose"),
+    ("老师让我们在下周之前比较两篇短文。你能告诉我应该先读哪一章吗？", "prose"),
+    ("我想知道图书馆的旧记录是怎样整理的，手册里有没有写到这一点？", "prose"),
+    ("Would you translate this for me? Die Prüfung beginnt um neun Uhr. I am not sure what the last word means.", "prose"),
+    ("The editors checked the kit twice, the editors checked the kit twice, the editors checked the kit twice, and it still has mistakes.", "prose"),
+    ("apples\npears\ngreen plums\ncherries\nblack currants\nquinces", "list"),
+    ("family law, soil science, music theory, ethics, logic, nutrition, geometry", "list"),
+    ("- winter term\n- summer term\n- final exam\n- reading list\n- answer key\n- course outline", "list"),
+    ("* logic\n* ethics\n* world history\n* sports medicine\n* public relations", "list"),
+    ("1. geometry\n2. market research\n3. organic chemistry\n4. plant protection\n5. network security\n6. ethics", "list"),
+    ("a) Lima\nb) Oslo\nc) Rome\nd) Quito\ne) Dakar\nf) Hanoi", "list"),
+    ("pens; paper; glue; two rulers; chalk; a sponge; coloured string; scissors", "list"),
+    ("Needed for the lab:\n• gloves\n• small jars\n• paper towels\n• a scale\n• labels\n• tape", "list"),
+    ("Logik\nEthik\nErnährung\nMusiklehre\nFamilienrecht\nBodenkunde\nPflanzenschutz", "list"),
+    ("Weltgeschichte, Geometrie, Marktforschung, Netzsicherheit, Sportmedizin, organische Chemie", "list"),
+    ("logique\nnutrition\ndroit de la famille\nhistoire du monde\nsolfège\ngéométrie", "list"),
+    ("– lógica\n– ética\n– nutrición\n– teoría musical\n– derecho de familia\n– geometría", "list"),
+    ("geometria, lógica, nutrição, teoria musical, direito de família, ética, história", "list"),
+    ("логика\nэтика\nгеометрия\nтеория музыки\nсемейное право\nпочвоведение", "list"),
+    ("逻辑学、伦理学、几何、营养学、乐理、家庭法、土壤学、世界史", "list"),
+    ("1、乐理\n2、几何\n3、伦理学\n4、市场调查\n5、网络安全\n6、运动医学", "list"),
+    ("| subject | hours | room |\n|---|---|---|\n| logic | 14 | 203 |\n| ethics | 22 | 118 |\n| geometry | 9 | 310 |\n| music theory | 31 | 207 |", "table"),
+    ("logic\t14\t20.50\nethics\t22\t18.00\ngeometry\t9\t33.75\nnutrition\t31\t12.10\nfamily law\t7\t41.90", "table"),
+    ("name,pages,price\nlogic,140,20.50\nethics,220,18.00\ngeometry,96,33.75\nnutrition,310,12.10", "table"),
+    ("Logik;140;20,50\nEthik;220;18,00\nGeometrie;96;33,75\nErnährung;310;12,10\nMusiklehre;77;9,95", "table"),
+    ("soil science          140     20.50\nmusic theory          220     18.00\nworld history          96     33.75\nfamily law            310     12.10", "table"),
+    ("<table><tr><td>logique</td><td>140</td><td>20.50</td></tr><tr><td>nutrition</td><td>220</td><td>18.00</td></tr><tr><td>solfège</td><td>96</td><td>33.75</td></tr></table>", "table"),
+    ("| lógica | 140 | 20.50 |\n| ética | 220 | 18.00 |\n| nutrición | 96 | 33.75 |\n| geometría | 310 | 12.10 |", "table"),
+    ("логика;140;20.50\nэтика;220;18.00\nгеометрия;96;33.75\nтеория музыки;310;12.10", "table"),
+    ("逻辑学\t140\t20.50\n伦理学\t220\t18.00\n几何\t96\t33.75\n营养学\t310\t12.10\n乐理\t77\t9.95", "table"),
+    ("几何,140,20.50\n乐理,220,18.00\n家庭法,96,33.75\n土壤学,310,12.10", "table"),
+    ("xkcvbq wrtpl gfdsn zzxcv mnbqw plkjh tyrwq bvcxz sdfgh qwrtz lkjhg nmbvc", "junk"),
+    ("9f 3a 00 7c e1 b4 55 02 fd 19 a8 6e 40 cc 8b 27 d0 11 9e 5f 34 7a c6 08 eb 63 92 1d", "junk"),
+    ("U2Vjb25kOiB0aGUgb3RoZXIgb25lIGlzIG5vdCBoZXJlLCBidXQgd2UgY2FuIHNlYXJjaA0KZm9yIGl0IQ==kQ93bXzP0aLw7TnV", "junk"),
+    ("#$%&/(=?*@@{[]}~^^<>|||%%%$$##!!;;::__--++**//==<<>>??@@##$$%%^^&&((", "junk"),
+    ("%D0%9F%D1%80%D0%B8&amp;nbsp;&amp;lt;&#x41f;\\u0440\\u0438\\u0432&nbsp;&lt;&gt;%E4%BD%A0%E5%A5%BD", "junk"),
+    ("��?� t�� b�?k �s� �?�t �� ��e �?b�� �?� ���r�? �� ??�� �����", "junk"),
+    ("Ã¤Ã¶Ã¼ÃŸ Ã©Ã¨Ãª Ã±Ã³ â€œÃœberâ€\x9d â€“ Ã„Ã–Ãœ Ã§Ã£Ãµ â‚¬Â£Â§ Ã¦Ã¸Ã¥", "junk"),
+    ("qq8Zx0Lr4TvB2nM7yKp1WsDf6GhJ3cVe5RtY9uIoPaSdFgHjKlZxCvBnM0qWeRtYuIoP", "junk"),
+    ("ghjk ghjkl fghj dfgh sdfg asdf jklj hjkl fghf dfgd sdfs asda lkjl kjhk", "junk"),
+    ("0x7f3a 0x11c9 0xbeef 0x00d4 0x9e10 0x44ab 0xffe1 0x2c07 0x8d3e 0x5b6a 0x10f2 0x7790", "junk"),
 ]

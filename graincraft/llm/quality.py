@@ -1,11 +1,14 @@
 """Problem 5: per-document text quality statistics, and a classifier of text kinds on them.
 
 Boosted trees are fitted on a bounded sample with weak labels: clear-cut prose and clear-cut structural
-junk. Their probabilities are calibrated on the hand-checked texts of ``holdout``.
+junk. Kinds of which the sample has too few clear-cut cases get some that are made of its words. The
+probabilities are calibrated on the hand-checked texts of ``holdout``, which are used for nothing else.
 """
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graincraft.llm.boost import Boosted
+from graincraft.llm.fold import level
 from graincraft.llm.holdout import CHECKED
-from graincraft.llm.stats import NAMES, Common, measures
+from graincraft.llm.stats import NAMES, Common, measures, words
 from graincraft.session import bounded_sample
 
 KINDS = ("prose", "list", "table", "junk")
@@ -71,15 +75,44 @@ def fit_model(df: DataFrame, text_col: str, order_col: str, fit_rows: int = 1000
     return model_of([r["t"] for r in bounded_sample(texts, "o", fit_rows)], Common.of_table(texts.select("t")))
 
 
+#: Clear-cut cases that a kind has at least, found or made.
+LEAST_CASES = 24
+
+
+def made_texts(texts: list[str], kind: str, n: int) -> list[str]:
+    """``n`` texts of a kind, always the same, made of the words of ``texts``."""
+    rng = random.Random(f"{kind} {n}")
+    held = [w for t in texts[:200] for w in words(level(t)) if w.isalpha()] or ["one", "two", "three", "four", "five", "six"]
+    pick = lambda: rng.choice(held)
+    out = []
+    for _ in range(n):
+        size = rng.randint(5, 12)
+        if kind == "list":
+            mark = rng.choice(["", "- ", "* ", "• "])
+            parts = [mark + pick() for _ in range(size)]
+            out.append(("\n" if mark else rng.choice(["\n", ", ", "; "])).join(parts))
+        elif kind == "table":
+            sep = rng.choice(["\t", ";", ",", " | "])
+            out.append("\n".join(sep.join([pick(), pick(), str(rng.randint(1, 9999)), f"{rng.uniform(1, 99):.2f}"]) for _ in range(size)))
+        elif kind == "junk":
+            signs = rng.choice(["0123456789abcdef", "bcdfghjklmnpqrstvwxz", "#$%&/(=?*@{[]}~^<>|"])
+            out.append(" ".join("".join(rng.choice(signs) for _ in range(2 if signs[0] == "0" else 6)) for _ in range(3 * size)))
+        else:
+            out.append(". ".join(" ".join(pick() for _ in range(size)).capitalize() for _ in range(3)) + ".")
+    return out
+
+
 def model_of(texts: list[str], common: Common) -> Model:
-    """The model fitted on ``texts``; with too few clear-cut cases the hand-checked texts are added."""
-    checked = np.array([measures(t, common)[1] for t, _ in CHECKED])
-    kinds = np.array([KINDS.index(k) for _, k in CHECKED])
+    """The model fitted on ``texts``."""
     x = np.array([measures(t, common)[1] for t in texts]).reshape(len(texts), len(NAMES))
     y = weak_labels(x)
     x, y = x[y >= 0], y[y >= 0]
-    if (np.bincount(y, minlength=len(KINDS)) < 8).any():
-        x, y = np.concatenate([x, checked]), np.concatenate([y, kinds])
+    for k, have in enumerate(np.bincount(y, minlength=len(KINDS))):
+        if have < LEAST_CASES:
+            made = np.array([measures(t, common)[1] for t in made_texts(texts, KINDS[k], LEAST_CASES - have)])
+            x, y = np.concatenate([x, made]), np.append(y, np.full(len(made), k))
+    checked = np.array([measures(t, common)[1] for t, _ in CHECKED])
+    kinds = np.array([KINDS.index(k) for _, k in CHECKED])
     return Model(common, Boosted.fit(x, y, len(KINDS)).calibrate(checked, kinds))
 
 

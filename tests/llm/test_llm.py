@@ -264,6 +264,27 @@ def test_boosted_trees_learn_and_calibrate():
     assert np.allclose(p.sum(axis=1), 1)
 
 
+def test_the_holdout_is_in_no_table(spark, data_dir):
+    checked = {" ".join(t.split()).casefold() for t, _ in quality.CHECKED}
+    assert len(checked) == len(quality.CHECKED)
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        for name, column in (("conversation", "question"), ("conversation", "answer"), ("corpus", "content"), ("documents", "text")):
+            rows = spark.read.parquet(f"{data_dir.replace('sf0.001', sf)}/{name}.parquet").where(f"{column} is not null").select(column)
+            assert not checked & {" ".join(r[0].split()).casefold() for r in rows.collect()}
+
+
+def test_the_holdout_is_used_for_calibration_only(monkeypatch):
+    seen = []
+    fit = boost.Boosted.fit.__func__
+    monkeypatch.setattr(boost.Boosted, "fit", classmethod(lambda cls, x, y, *a, **k: seen.append((x, y)) or fit(cls, x, y, *a, **k)))
+    common = stats.Common(["one two three four five."] * 5)
+    quality.model_of(["one two three four five."] * 5, common)
+    (x, y), = seen
+    held = {tuple(stats.measures(t, common)[1]) for t, _ in quality.CHECKED}
+    assert set(y) == {0, 1, 2, 3} and np.bincount(y).min() >= quality.LEAST_CASES and not held & set(map(tuple, x.tolist()))
+    assert quality.made_texts(["a few words"], "table", 2) == quality.made_texts(["a few words"], "table", 2)
+
+
 def test_kinds_on_the_held_out_table(spark, data_dir):
     turns = spark.read.parquet(data_dir.replace("sf0.001", "sf0.01") + "/conversation.parquet")
     model = quality.fit_model(turns, "question", "row_id")
