@@ -5,6 +5,9 @@ of similar texts counts as the square root of its size, plus a small term for qu
 its own greedy choice, weighted by the number of texts it stands for; nominations are reduced in the same way until
 they fit one final greedy pass. Numbers of texts are passed on as they are: the square root is taken of them in
 each choice, never of what was damped before, so that the last choice sees the group sizes of the whole table.
+
+A subset too large for one final pass is chosen by regions: a small varied subset gives their centers, each text
+joins the region of the nearest one, and each region fills its part of the subset, in the same way.
 """
 
 from __future__ import annotations
@@ -15,10 +18,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graincraft.llm.fold import level
+from graincraft.llm.fold import level, mix
 from graincraft.llm.mixing import source_name
 from graincraft.session import materialize
 
@@ -102,6 +105,84 @@ def _nominate(sizes: dict[str, int]):
 _SCHEMA = "grp string, id long, x array<float>, quality double, weight double, rank int, gain double"
 
 
+def _choose(rows: DataFrame, sizes: dict[str, int], block: int, final: int) -> DataFrame:
+    """The greedy order of each group of ``rows (grp, id, quality, text)``, as many as ``sizes`` says, in two or more rounds."""
+    block = max(block, 2 * max(sizes.values()))
+    salt = 0
+    while True:
+        counts = {r["grp"]: r["n"] for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
+        blocks = {g: 1 if n <= final else -(-n // block) for g, n in counts.items()}
+        of = F.create_map(*[F.lit(v) for pair in blocks.items() for v in pair]) if blocks else None
+        number = F.pmod(F.xxhash64("id", F.lit(salt)), F.try_element_at(of, F.col("grp"))) if of is not None else F.lit(0)
+        picked = rows.withColumn("block", number).groupBy("grp", "block").applyInPandas(_nominate(sizes), _SCHEMA)
+        if all(b == 1 for b in blocks.values()):
+            return picked
+        rows = materialize(picked.select("grp", "id", "x", "quality", "weight"))
+        salt += 1
+
+
+#: Times that regions are split by their centers; then by a hash, so that texts of one place cannot hold out.
+_SPLITS = 2
+
+
+def _regions(rows: DataFrame, sizes: dict[str, int], parent: dict[str, str], block: int, final: int, depth: int) -> tuple[DataFrame, dict[str, int], dict[str, str]]:
+    """Groups whose subset is too large for one pass as regions around the rows of a small varied subset.
+
+    The part of a region goes by the square root of its texts, of which it never takes more than it has.
+    """
+    large = {g: k for g, k in sizes.items() if 2 * k > final}
+    few = {g: min(max(2, -(-4 * k // final)), max(1, final // 2)) for g, k in large.items()}
+    centers: dict[str, list] = {}
+    if depth < _SPLITS:
+        picked = _choose(rows.where(F.col("grp").isin(sorted(large))), few, block, final)
+        for r in picked.select("grp", "id", "x").orderBy("grp", "id").collect():  # at most half of ``final`` for each group
+            centers.setdefault(r["grp"], []).append(r["x"])
+    at = {g: np.array(x, dtype=np.float32) for g, x in centers.items()}
+
+    def assign(batches):
+        for pdf in batches:
+            grp = pdf["grp"].to_numpy(dtype=object).copy()
+            for g in large:
+                own = np.flatnonzero(grp == g)
+                if len(own):
+                    if g in at:
+                        near = (embed(list(pdf["text"].iloc[own])) @ at[g].T).argmax(axis=1)
+                    else:
+                        near = mix(pdf["id"].to_numpy()[own].view(np.uint64) + np.uint64(depth)) % np.uint64(few[g])
+                    grp[own] = [f"{g}\x1f{k}" for k in near]
+            yield pdf.assign(grp=grp)
+
+    rows = materialize(rows.mapInPandas(assign, rows.schema))
+    have = {r["grp"]: r["n"] for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts, roots = {g: k for g, k in sizes.items() if g not in large}, {g: parent[g] for g in sizes if g not in large}
+    for g, k in large.items():
+        own = sorted(x for x in have if x.startswith(f"{g}\x1f"))
+        parts |= _share_out(k, {x: have[x] for x in own})
+        roots |= {x: parent[g] for x in own}
+    parts = {x: k for x, k in parts.items() if k}
+    return rows.where(F.col("grp").isin(sorted(parts))), parts, roots
+
+
+def _share_out(k: int, have: dict[str, int]) -> dict[str, int]:
+    """``k`` dealt by the square roots of ``have``, no part larger than what there is; all if there are fewer than ``k``."""
+    out = dict.fromkeys(have, 0)
+    left = min(k, sum(have.values()))
+    while left:
+        open_ = [x for x in sorted(have) if out[x] < have[x]]
+        total = sum(have[x] ** 0.5 for x in open_)
+        before = left
+        for x in open_:
+            more = min(int(before * have[x] ** 0.5 / total), have[x] - out[x], left)
+            out[x] += more
+            left -= more
+        open_ = [x for x in open_ if out[x] < have[x]]
+        if left < len(open_):  # the largest remainders
+            for x in sorted(open_, key=lambda x: (-(before * have[x] ** 0.5 / total % 1), x))[:left]:
+                out[x] += 1
+                left -= 1
+    return out
+
+
 def varied_subset(
     df: DataFrame,
     id_col: str,
@@ -117,7 +198,8 @@ def varied_subset(
     A null ``source`` asks for the whole table. Copies of a text count as one candidate, the smallest id;
     a request for more than the distinct texts gets them all. Null texts and texts without letters or digits
     are no candidates. A null, NaN or negative quality counts as the middle of the scale 0 to 10, a larger
-    one as 10. Requests of one source share one greedy order, of which each takes its first rows.
+    one as 10. Requests of one source share one greedy order, of which each takes its first rows. A subset of
+    more than half of ``final`` rows is made of regions; its order is then that of the gains.
     """
     asked = [r for r in requests.collect() if r["subset_size"] is not None and r["subset_size"] > 0]
     sizes: dict[str, int] = {}
@@ -127,9 +209,6 @@ def varied_subset(
     spark = df.sparkSession
     if not sizes:
         return spark.createDataFrame([], "request_id int, id long, rank int, gain double")
-    if max(sizes.values()) * 2 > final:
-        raise ValueError(f"a subset of more than {final // 2} rows needs a larger final pass")
-    block = max(block, 2 * max(sizes.values()))
     score = F.col(quality_col).cast("double") if quality_col else F.lit(None).cast("double")
     score = F.when(score.isNull() | F.isnan(score) | (score < 0), 5.0).otherwise(F.least(score, F.lit(10.0))) / 10
     rows = df.select(
@@ -153,19 +232,17 @@ def varied_subset(
         F.min("text").alias("text"), F.array(*members).alias("members")
     )
     texts = materialize(texts.select("text", F.filter("members", lambda m: m["id"].isNotNull()).alias("members")))
-    level_ = texts.select("text", F.explode("members").alias("m")).select("m.grp", "m.id", "m.quality", "text")
-    salt = 0
-    while True:
-        counts = {r["grp"]: r["n"] for r in level_.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}
-        blocks = {g: 1 if n <= final else -(-n // block) for g, n in counts.items()}
-        of = F.create_map(*[F.lit(v) for pair in blocks.items() for v in pair]) if blocks else None
-        number = F.pmod(F.xxhash64("id", F.lit(salt)), F.try_element_at(of, F.col("grp"))) if of is not None else F.lit(0)
-        picked = level_.withColumn("block", number).groupBy("grp", "block").applyInPandas(_nominate(sizes), _SCHEMA)
-        if all(b == 1 for b in blocks.values()):
-            break
-        level_ = materialize(picked.select("grp", "id", "x", "quality", "weight"))
-        salt += 1
-    order = materialize(picked.select("grp", "id", "rank", "gain"))
+    rows = texts.select("text", F.explode("members").alias("m")).select("m.grp", "m.id", "m.quality", "text")
+    parent = {g: g for g in sizes}  # of each group or region, the group it belongs to
+    depth = 0
+    while any(2 * k > final for k in sizes.values()):
+        rows, sizes, parent = _regions(rows, sizes, parent, block, final, depth)
+        depth += 1
+    order = materialize(_choose(rows, sizes, block, final).select("grp", "id", "rank", "gain"))
+    if len(parent) > len(set(parent.values())):
+        name = F.create_map(*[F.lit(v) for pair in parent.items() for v in pair])
+        order = order.withColumn("grp", F.try_element_at(name, F.col("grp")))
+        order = order.withColumn("rank", F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("gain"), "id")))
     wanted = spark.createDataFrame(
         [(r["request_id"], "" if r["source"] is None else r["source"].strip().lower(), int(r["subset_size"])) for r in asked],
         "request_id int, grp string, size int",

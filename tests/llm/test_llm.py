@@ -334,8 +334,24 @@ def test_subset_covers_the_small_groups(spark):
     assert len({1000, 1001, 1002} & set(of(1))) >= 2 and len(of(1)) == 4
     assert of(5) == of(1)[:2]
     assert len(of(2)) == 2 and 1000 in of(2) and not of(3) and not of(4)
-    with pytest.raises(ValueError):
-        subset.varied_subset(df, "id", "t", frame(spark, [(1, None, 10**6)], "request_id int, source string, subset_size int"))
+
+
+def test_subsets_larger_than_a_pass(spark):
+    rows = [(i, f"Write three practice tasks on law for class number {i}", 5.0, "a") for i in range(150)]
+    rows += [(1000 + i, f"слово{i} другое{i * 7} третье{i * 11}", 5.0, "b") for i in range(60)] + [(2000 + i, "x" + "!" * i, 5.0, "c") for i in range(60)]
+    df = frame(spark, rows, "id long, t string, q double, s string")
+    requests = frame(spark, [(1, None, 90), (2, None, 10**6), (3, "c", 40), (4, "c", 3)], "request_id int, source string, subset_size int")
+    out = subset.varied_subset(df, "id", "t", requests, "q", "s", block=50, final=60).collect()
+    of = {n: {r["id"] for r in out if r["request_id"] == n} for n in (1, 2, 3, 4)}
+    assert {n: len(x) for n, x in of.items()} == {1: 90, 2: 270, 3: 40, 4: 3}
+    assert of[1] < of[2] and of[4] < of[3] <= {2000 + i for i in range(60)}
+    ranks = sorted(r["rank"] for r in out if r["request_id"] == 1)
+    assert ranks == list(range(1, 91))
+
+
+def test_parts_of_regions():
+    assert subset._share_out(10, {"a": 100, "b": 25, "c": 1}) == {"a": 6, "b": 3, "c": 1}
+    assert subset._share_out(9, {"a": 2, "b": 3}) == {"a": 2, "b": 3} and subset._share_out(5, {}) == {}
 
 
 # ------------------------------------------------------------------ 7 language
