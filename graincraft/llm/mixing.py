@@ -4,6 +4,11 @@ A classifier fitted on documents of known source predicts for every document of
 likely it belongs to each one. A distributed projected-gradient least squares then fits for each document
 a rate (expected number of uses) between 0 and the cap of its source, such that the expected tokens of each
 source match the targets. Rates become whole uses by deterministic rounding.
+
+The gradient of a document is its membership times what is missing, so documents of equal membership have
+equal rates. Memberships are kept in eighths, in at most three sources: their tokens are added up once, over all
+documents, and the gradient steps then run over these sums, of which there are at most as many as there are
+memberships of this kind, whatever the number of documents.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ from graincraft.session import bounded_sample, materialize
 
 #: Token ids are folded into so many features.
 FEATURES = 4096
+#: Parts that a membership is made of, and sources that it can name.
+PARTS, NAMED = 8, 3
 
 
 def features(ids: list[int]) -> np.ndarray:
@@ -64,11 +71,21 @@ def fit_sources(df: DataFrame, text_col: str, source_col: str, order_col: str, s
     return SourceModel.fit(sources, x, np.array([sources.index(r["s"]) for r in rows], dtype=np.int64))
 
 
+def in_parts(p: np.ndarray) -> np.ndarray:
+    """Probabilities (rows) as whole ``PARTS`` in the ``NAMED`` likeliest sources; rounded by largest remainders."""
+    if p.shape[1] > NAMED:
+        p = np.where(np.argsort(np.argsort(-p, axis=1, kind="stable"), axis=1) < NAMED, p, 0)
+    p = p / p.sum(axis=1, keepdims=True) * PARTS
+    out = np.floor(p + 1e-9).astype(np.int8)
+    rank = np.argsort(np.argsort(out - p, axis=1, kind="stable"), axis=1)
+    return out + (rank < (PARTS - out.sum(axis=1, keepdims=True))).astype(np.int8)
+
+
 def memberships(df: DataFrame, id_col: str, text_col: str, source_col: str, model: SourceModel, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``(id, source, tokens, member)``: ``member`` has a probability for each source of the model.
+    """``(id, source, tokens, member)``: ``member`` has for each source of the model its parts of ``PARTS``.
 
-    It is 1 for the recorded source where that is one of the model's, else the model's posterior; ``source``
-    is the recorded source or, where unknown, null. Null texts and texts without tokens are left out.
+    Documents of a source of the model are members of it alone; those without a source have the model's posterior.
+    Documents of any other source are none of these, and are left out, as are null texts and those without tokens.
     """
     sources = model.sources
 
@@ -76,40 +93,36 @@ def memberships(df: DataFrame, id_col: str, text_col: str, source_col: str, mode
         own = encoder(vocabulary)
         for pdf in batches:
             ids = [own.encode_ordinary(t) for t in pdf["text"]]
-            member = np.zeros((len(ids), len(sources)), dtype=np.float32)
-            at = [sources.index(s) if s in known else -1 for s in pdf["source"]]
-            blank = [i for i, k in enumerate(at) if k < 0]
-            for i, k in enumerate(at):
-                if k >= 0:
-                    member[i, k] = 1
+            member = np.zeros((len(ids), len(sources)), dtype=np.int8)
+            blank = []
+            for i, s in enumerate(pdf["source"]):
+                if s in at:
+                    member[i, at[s]] = PARTS
+                else:
+                    blank.append(i)
             if blank:
-                member[blank] = model.posteriors(np.array([features(ids[i]) for i in blank], dtype=np.float32))
-            out = pd.DataFrame({"id": pdf["id"], "source": [s if s in known else None for s in pdf["source"]]})
-            out["tokens"] = [len(i) for i in ids]
+                member[blank] = in_parts(model.posteriors(np.array([features(ids[i]) for i in blank], dtype=np.float32)))
+            out = pd.DataFrame({"id": pdf["id"], "source": pdf["source"], "tokens": [len(i) for i in ids]})
             out["member"] = list(member)
             yield out[out["tokens"] > 0]
 
-    known = frozenset(sources)
+    at = {s: i for i, s in enumerate(sources)}
     src = df.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), source_name(F.col(source_col)).alias("source")
-    ).where("text is not null")
-    return src.mapInPandas(run, "id long, source string, tokens long, member array<float>")
+    ).where(F.col("text").isNotNull() & (F.col("source").isNull() | F.col("source").isin(sources)))
+    return src.mapInPandas(run, "id long, source string, tokens long, member array<tinyint>")
 
 
 class Plan:
-    """Targets and caps of each mix, and the steps of the fit so far; rates follow from these alone."""
+    """The rate of each membership (rows of ``member``) in each mix."""
 
-    def __init__(self, mixes: list[int], targets: np.ndarray, caps: np.ndarray):
-        self.mixes, self.targets, self.caps = mixes, targets, caps
-        self.steps: list[np.ndarray] = []
+    def __init__(self, mixes: list[int], member: np.ndarray, rate: np.ndarray):
+        self.mixes, self.rate = mixes, rate
+        self.at = {m.tobytes(): i for i, m in enumerate(member.astype(np.int8))}
 
     def rates(self, member: np.ndarray) -> np.ndarray:
         """Rates of documents (rows) in each mix (columns)."""
-        cap = self.caps.T[member.argmax(axis=1)]
-        rate = np.zeros(cap.shape)
-        for step in self.steps:
-            rate = np.clip(rate + member @ step.T, 0, cap)
-        return rate
+        return self.rate[[self.at[m.tobytes()] for m in member.astype(np.int8)]]
 
     def uses(self, member: np.ndarray, tokens: np.ndarray, owed: np.ndarray) -> np.ndarray:
         """Whole uses of documents, in their order: the rate rounded such that each source keeps its tokens.
@@ -129,36 +142,14 @@ class Plan:
         return out
 
 
-def fit_rates(docs: DataFrame, mixes: dict[int, dict[str, tuple[float, int]]], sources: list[str], rounds: int = 40, tolerance: float = 1e-3) -> Plan:
-    """Fit the rates of all mixes at once; each round is one distributed sum of ``mixes x sources`` numbers.
+def descend(member: np.ndarray, tokens: np.ndarray, targets: np.ndarray, caps: np.ndarray, rounds: int = 2000, tolerance: float = 1e-4) -> np.ndarray:
+    """Rates (rows of ``member`` x mixes) by projected-gradient least squares on the expected tokens of each source.
 
-    The size of a mix is the largest that its caps allow; a source without documents (one that is not among
-    ``sources``) gives up its share.
-    The step of a source is divided by its available tokens, which makes the least squares well conditioned.
+    ``member`` sums to 1 in each row, ``targets`` and ``caps`` are mixes x sources. The size of a mix is the largest
+    that its caps allow; a source without tokens gives up its share. The step of a source is divided by its
+    available tokens, which makes the least squares well conditioned. The rates of the smallest error are returned.
     """
-    names = sorted(mixes)
-    targets = np.array([[mixes[m].get(s, (0.0, 0))[0] for s in sources] for m in names])
-    caps = np.array([[mixes[m].get(s, (0.0, 0))[1] for s in sources] for m in names], dtype=float)
-    plan = Plan(names, targets, caps)
-
-    def totals(have: Plan | None) -> np.ndarray:
-        shape = (len(names) if have else 1, len(sources))
-
-        def run(batches):
-            total = np.zeros(shape)
-            for pdf in batches:
-                member = np.stack(pdf["member"].to_numpy())
-                weight = pdf["tokens"].to_numpy(dtype=float)[:, None]
-                total += ((have.rates(member) if have else 1.0) * weight * np.ones((1, shape[0]))).T @ member
-            yield pd.DataFrame({"at": np.arange(total.size), "v": total.ravel()})
-
-        sums = docs.select("tokens", "member").mapInPandas(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
-        out = np.zeros(shape[0] * shape[1])
-        for r in sums:
-            out[r["at"]] = r["v"]
-        return out.reshape(shape)
-
-    have = np.maximum(totals(None)[0], 0)
+    have = tokens @ member
     there = have > 0
     share = np.where(there, targets, 0)
     share = share / np.maximum(share.sum(axis=1, keepdims=True), 1e-12)
@@ -168,18 +159,32 @@ def fit_rates(docs: DataFrame, mixes: dict[int, dict[str, tuple[float, int]]], s
     size = np.where(np.isfinite(size), size, 0.0)
     goal = share * size[:, None]
     safe = np.where(there, have, 1.0)
-    plan.steps.append(goal / safe)
-    best, kept = np.inf, 1
+    cap = caps.T[member.argmax(axis=1)]
+    rate = np.clip(member @ (goal / safe).T, 0, cap)
+    best, kept, since = np.inf, rate, 0
     for _ in range(rounds):
-        miss = goal - totals(plan)
+        miss = goal - (rate * tokens[:, None]).T @ member
         worst = float((np.abs(miss) / np.maximum(size[:, None], 1e-9)).max(initial=0))
-        if worst < best:
-            best, kept = worst, len(plan.steps)
-        if worst < tolerance or not np.isfinite(worst) or len(plan.steps) - kept > 5:
+        if not np.isfinite(worst):
             break
-        plan.steps.append(miss / safe)
-    del plan.steps[kept:]
-    return plan
+        if worst < best * 0.999:
+            best, kept, since = worst, rate, 0
+        since += 1
+        if worst < tolerance or since > 50:
+            break
+        rate = np.clip(rate + member @ (miss / safe).T, 0, cap)
+    return kept
+
+
+def fit_rates(docs: DataFrame, mixes: dict[int, dict[str, tuple[float, int]]], sources: list[str]) -> Plan:
+    """The rates of all mixes, from one distributed sum of tokens by membership."""
+    names = sorted(mixes)
+    targets = np.array([[mixes[m].get(s, (0.0, 0))[0] for s in sources] for m in names])
+    caps = np.array([[mixes[m].get(s, (0.0, 0))[1] for s in sources] for m in names], dtype=float)
+    sums = docs.groupBy("member").agg(F.sum("tokens").alias("tokens")).orderBy("member").collect()
+    member = np.array([r["member"] for r in sums], dtype=float).reshape(-1, len(sources))
+    tokens = np.array([r["tokens"] for r in sums], dtype=float)
+    return Plan(names, member, descend(member / PARTS, tokens, targets, caps))
 
 
 def mix_sources(df: DataFrame, id_col: str, text_col: str, source_col: str, targets: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
@@ -189,7 +194,8 @@ def mix_sources(df: DataFrame, id_col: str, text_col: str, source_col: str, targ
     report ``(mix_id, source, target_share, actual_share, tokens, documents, most_copies)`` with a row for
     each target and, with a target of 0, for used documents of unknown source (``source`` null).
     No document is used more often than ``max_repeats`` of its source; one of unknown source has the cap of
-    its most likely source. Rows of ``targets`` with nulls are ignored.
+    its most likely source. Documents of a source that no mix lists are not used. Rows of ``targets`` with nulls
+    are ignored; if one source stands twice in a mix, its last row holds.
     """
     mixes: dict[int, dict[str, tuple[float, int]]] = {}
     for r in targets.dropna().collect():

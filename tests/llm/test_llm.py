@@ -476,13 +476,39 @@ def test_mix_reaches_the_shares(spark):
 
 
 def test_rounding_owes_less_than_a_document():
-    plan = mixing.Plan([1], np.array([[1.0]]), np.array([[2.0]]))
-    plan.steps.append(np.array([[0.3]]))
+    plan = mixing.Plan([1], np.array([[8]]), np.array([[0.3]]))
     tokens = np.array([10, 20, 30, 5, 50, 7, 9] * 20)
-    uses = plan.uses(np.ones((140, 1), np.float32), tokens, owed := np.zeros((1, 1)))
+    uses = plan.uses(np.full((140, 1), 8, np.int8), tokens, owed := np.zeros((1, 1)))
     assert abs((uses[:, 0] * tokens).sum() - 0.3 * tokens.sum()) <= 25 + 1e-6 and abs(owed[0, 0]) <= 25
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.floats(0.01, 1), min_size=5, max_size=5), min_size=1, max_size=6))
+def test_memberships_are_whole_parts_of_few_sources(rows):
+    p = np.array(rows) / np.sum(rows, axis=1, keepdims=True)
+    got = mixing.in_parts(p)
+    assert (got.sum(axis=1) == mixing.PARTS).all() and (got >= 0).all() and ((got > 0).sum(axis=1) <= mixing.NAMED).all()
+    assert mixing.in_parts(np.eye(5)).tolist() == (8 * np.eye(5)).tolist()
+
+
+def test_gradient_reaches_what_the_caps_allow():
+    member = np.array([[1, 0, 0], [0, 1, 0], [0, 0, 1], [0.5, 0.5, 0], [0.25, 0, 0.75]])
+    tokens = np.array([1000.0, 300, 500, 200, 100])
+    targets, caps = np.array([[0.2, 0.5, 0.3], [1.0, 0, 0]]), np.array([[4.0, 4, 4], [1, 0, 0]])
+    rate = mixing.descend(member, tokens, targets, caps)
+    sums = (rate * tokens[:, None]).T @ member
+    assert np.allclose(sums[0] / sums[0].sum(), targets[0], atol=2e-3) and (rate <= caps.T[member.argmax(axis=1)] + 1e-12).all()
+    assert sums[1, 0] > 0 and rate[1, 1] == rate[2, 1] == 0
+
+
+def test_documents_of_unlisted_sources_are_not_used(spark):
+    rows = [(i, f"law text number {i}", "a") for i in range(20)] + [(100 + i, f"law text number {i}", "other") for i in range(20)]
+    rows += [(200, "law text", None), (201, "law text", " "), (202, None, "a")]
+    targets = frame(spark, [(1, "a", 1.0, 1)], "mix_id int, source string, target_share double, max_repeats int")
+    used, report = mixing.mix_sources(frame(spark, rows, "id long, t string, s string"), "id", "t", "s", targets)
+    assert {r["id"] for r in used.collect()} == {*range(20), 200, 201} and report.count() == 2
+
+
 # ------------------------------------------------------------------ 10 spans
 
 
