@@ -147,7 +147,7 @@ def descend(member: np.ndarray, tokens: np.ndarray, targets: np.ndarray, caps: n
 
     ``member`` sums to 1 in each row, ``targets`` and ``caps`` are mixes x sources. The size of a mix is the largest
     that its caps allow; a source without tokens gives up its share. The step of a source is divided by its
-    available tokens, which makes the least squares well conditioned. The rates of the smallest error are returned.
+    available tokens, which makes the least squares well conditioned. Of each mix, the rates of the smallest error are returned.
     """
     have = tokens @ member
     there = have > 0
@@ -161,16 +161,15 @@ def descend(member: np.ndarray, tokens: np.ndarray, targets: np.ndarray, caps: n
     safe = np.where(there, have, 1.0)
     cap = caps.T[member.argmax(axis=1)]
     rate = np.clip(member @ (goal / safe).T, 0, cap)
-    best, kept, since = np.inf, rate, 0
+    kept = rate.copy()
+    best, since = np.full(len(targets), np.inf), np.zeros(len(targets), dtype=np.int64)
     for _ in range(rounds):
         miss = goal - (rate * tokens[:, None]).T @ member
-        worst = float((np.abs(miss) / np.maximum(size[:, None], 1e-9)).max(initial=0))
-        if not np.isfinite(worst):
-            break
-        if worst < best * 0.999:
-            best, kept, since = worst, rate, 0
-        since += 1
-        if worst < tolerance or since > 50:
+        worst = np.nan_to_num(np.abs(miss) / np.maximum(size[:, None], 1e-9), nan=0, posinf=0).max(axis=1, initial=0)
+        better = worst < best
+        since = np.where(worst < best * 0.999, 0, since + 1)
+        kept[:, better], best[better] = rate[:, better], worst[better]
+        if ((worst < tolerance) | (since > 50)).all():
             break
         rate = np.clip(rate + member @ (miss / safe).T, 0, cap)
     return kept
