@@ -3,46 +3,35 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graincraft.functions import text as X
 from graincraft.functions.plugins import Detector, Segmenter, character_segmenter, stop_word_detector
+from graincraft.operators.grams import Pieces, encoded, first_to_peak, in_blocks
 
-#: Sizes of n-grams whose most frequent one, and whose repeats, are measured, with the largest share allowed.
+# Sizes of n-grams whose most frequent one, and whose repeats, are measured, with the largest share allowed.
 TOP_GRAMS = {n: 0.8 for n in (1, 2, 3, 4)}
 REPEATED_GRAMS = {n: 0.55 for n in (5, 6, 7, 8, 9, 10)}
 
 
-def _most(values: list[str]) -> tuple[str | None, int]:
-    """The value whose count is largest, and of these the one that reached it first."""
-    counts: dict[str, int] = {}
-    best, top = None, 0
-    for v in values:
-        n = counts[v] = counts.get(v, 0) + 1
-        if n > top:
-            best, top = v, n
-    return best, top
-
-
 def frequent_unit(c: Column) -> Column:
     """(unit, n, total) of text without punctuation: its most frequent word if more than a twentieth of it are
     blanks, else its most frequent character. Null for null."""
 
     @F.pandas_udf("kind string, unit string, n long, total long")
     def run(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            if t is None:
-                rows.append((None, None, None, None))
-                continue
-            kind = "word" if t.count(" ") > len(t) * 0.05 else "char"
-            units = t.split(" ") if kind == "word" else list(t)
-            rows.append((kind, *_most(units), len(units)))
+        known = [t or "" for t in texts]
+        words = [t.count(" ") > len(t) * 0.05 for t in known]
+        units = [t.split(" ") if w else list(t) for t, w in zip(known, words)]
+        rows = [
+            (None, None, None, None) if t is None else ("word" if w else "char", *top, len(own))
+            for t, w, own, top in zip(texts, words, units, first_to_peak(units))
+        ]
         return pd.DataFrame(rows, columns=["kind", "unit", "n", "total"])
 
     return run(X.words_only(c))
@@ -76,53 +65,25 @@ def garbled(
 Tokenizer = Callable[[str], list]
 
 
-def _join(pieces: list):
-    """Pieces joined without a separator: strings or bytes."""
-    return b"".join(pieces) if pieces and isinstance(pieces[0], bytes) else "".join(pieces)
-
-
-def _bytes(piece) -> int:
-    return len(piece if isinstance(piece, bytes) else piece.encode("utf-8", "surrogatepass"))
-
-
-def top_gram(words: list, n: int) -> tuple[str | bytes | None, int]:
-    """The most frequent run of ``n`` words joined without a separator; the first seen wins ties."""
-    found = Counter(_join(words[i : i + n]) for i in range(len(words) - n + 1))
-    return found.most_common(1)[0] if found else (None, 0)
-
-
-def repeated_bytes(words: list, n: int) -> int:
-    """Bytes in repeated runs of ``n`` words, found by one pass that jumps over each repeat."""
-    seen: set = set()
-    i = total = 0
-    while i + n <= len(words):
-        run = _join(words[i : i + n])
-        if run in seen:
-            total += _bytes(run)
-            i += n
-        else:
-            seen.add(run)
-            i += 1
-    return total
-
-
-def repetition_of(text: str, tokenizer: Tokenizer = str.split) -> tuple[str, dict[str, float]]:
-    """The verdict on one text and the shares it rests on; the last rule that fails is named, else 'normal'."""
-    words = tokenizer(text)
-    size = len(text.encode("utf-8", "surrogatepass"))
-    verdict, shares = "normal", {}
-    for n, most in TOP_GRAMS.items():
-        gram, times = top_gram(words, n)
-        if gram is None:
-            continue
-        share = shares[f"top_{n}"] = _bytes(gram) * times / size if size else 0.0
-        if share > most:
-            verdict = f"top_{n}_grams_ratio"
-    for n, most in REPEATED_GRAMS.items():
-        share = shares[f"duplicate_{n}"] = repeated_bytes(words, n) / size if size else 0.0
-        if share > most:
-            verdict = f"duplicate_{n}_grams_ratio"
-    return verdict, shares
+def repetition_of(texts: list[str], tokenizer: Tokenizer = str.split) -> list[tuple[str, dict[str, float]]]:
+    """The verdict on each text and the shares it rests on; the last rule that fails is named, else 'normal'."""
+    out: list[tuple[str, dict[str, float]]] = []
+    for block in in_blocks(encoded(tokenizer(t)) for t in texts):
+        own = texts[len(out) : len(out) + len(block)]
+        size = np.maximum([len(t.encode("utf-8", "surrogatepass")) for t in own], 1)
+        pieces_ = Pieces(block)
+        shares: dict[str, tuple[np.ndarray, float, str]] = {}
+        for n, most in TOP_GRAMS.items():
+            runs = pieces_.runs(n)
+            best, times = runs.most_frequent()
+            share = np.where(best >= 0, np.append(runs.size, 0)[best] * times, np.nan) / size
+            shares[f"top_{n}"] = share, most, f"top_{n}_grams_ratio"
+        for n, most in REPEATED_GRAMS.items():
+            shares[f"duplicate_{n}"] = pieces_.runs(n).repeated_bytes() / size, most, f"duplicate_{n}_grams_ratio"
+        for i in range(len(block)):
+            failed = [name for share, most, name in shares.values() if share[i] > most]
+            out.append((failed[-1] if failed else "normal", {k: float(v[i]) for k, (v, _, _) in shares.items() if v[i] == v[i]}))
+    return out
 
 
 def repetition(c: Column, tokenizer: Tokenizer = str.split) -> Column:
@@ -130,8 +91,8 @@ def repetition(c: Column, tokenizer: Tokenizer = str.split) -> Column:
 
     @F.pandas_udf("verdict string, shares map<string,double>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        rows = [(None, None) if t is None else repetition_of(t, tokenizer) for t in texts]
-        return pd.DataFrame(rows, columns=["verdict", "shares"])
+        rows = iter(repetition_of([t for t in texts if t is not None], tokenizer))
+        return pd.DataFrame([(None, None) if t is None else next(rows) for t in texts], columns=["verdict", "shares"])
 
     return run(c)
 
@@ -152,9 +113,11 @@ def top_gram_share(c: Column, n: int) -> Column:
     @F.pandas_udf("gram string, n long, share double")
     def run(texts: pd.Series) -> pd.DataFrame:
         rows = []
-        for t in texts:
-            gram, times = top_gram(t.split(), n) if t else (None, 0)
-            rows.append((gram, times, len(gram.encode()) * times / len(t.encode()) if gram else None))
+        known = [t or "" for t in texts]
+        for block in in_blocks(encoded(t.split()) for t in known):
+            runs = Pieces(block).runs(n)
+            for t, run_, times in zip(known[len(rows) :], *runs.most_frequent()):
+                rows.append((None, 0, None) if run_ < 0 else (runs.text(run_).decode("utf-8", "surrogatepass"), times, runs.size[run_] * times / len(t.encode("utf-8", "surrogatepass"))))
         return pd.DataFrame(rows, columns=["gram", "n", "share"])
 
     return run(c)

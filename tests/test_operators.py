@@ -3,6 +3,7 @@
 import itertools
 import json
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from graincraft import session
 from graincraft.functions import plugins
-from graincraft.operators import dedup, keywords, metrics, quality, routing, sampling, shaping
+from graincraft.operators import dedup, grams, keywords, metrics, quality, routing, sampling, shaping
 from graincraft.sources import io
 from graincraft.streaming import lines
 
@@ -33,9 +34,30 @@ def slow_repeats(words, n):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.sampled_from(["a", "b", "ab", "ü"]), max_size=30), st.integers(2, 6))
-def test_repeats_match_the_plain_scan(words, n):
-    assert quality.repeated_bytes(words, n) == slow_repeats(words, n)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "ab", "ü"]), max_size=30), max_size=4), st.integers(1, 6))
+def test_runs_match_the_plain_scan(lists, n):
+    runs = grams.Pieces([grams.encoded(own) for own in lists]).runs(n)
+    assert runs.repeated_bytes().tolist() == [slow_repeats(own, n) for own in lists]
+    best, times = runs.most_frequent()
+    for own, run, k in zip(lists, best, times):
+        found = Counter("".join(own[i : i + n]) for i in range(len(own) - n + 1)).most_common(1)
+        assert (runs.text(run).decode(), k) == found[0] if found else run == -1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=12), max_size=4))
+def test_first_to_peak(lists):
+    for own, (value, n) in zip(lists, grams.first_to_peak(lists)):
+        top = max((own.count(v) for v in own), default=0)
+        ends = {v: [i for i, x in enumerate(own) if x == v][-1] for v in set(own) if own.count(v) == top}
+        assert n == top and value == (min(ends, key=ends.get) if own else None)
+
+
+def test_texts_are_taken_in_blocks(monkeypatch):
+    texts = ["a b a b a b a b", "", "x " * 40, "one two", "ü ü ü ü ü ü"]
+    whole = quality.repetition_of(texts)
+    monkeypatch.setattr(grams.in_blocks, "__defaults__", (9,))
+    assert quality.repetition_of(texts) == whole and len(whole) == 5
 
 
 def test_repetition_verdicts(spark):
@@ -53,9 +75,8 @@ def test_byte_pieces(spark):
     got = [r[0] for r in df.select(quality.pieces(F.col("ids"), table)).collect()]
     assert [None if g is None else [None if p is None else bytes(p) for p in g] for g in got] == [[b"ab", "é".encode(), None], None, []]
     cut = lambda t: [bytes([b]) for b in t.encode()]
-    verdict, shares = quality.repetition_of("aaaaaaaaaaaaaaaaaaaab", cut)
+    ((verdict, shares),) = quality.repetition_of(["aaaaaaaaaaaaaaaaaaaab"], cut)
     assert shares["top_1"] == pytest.approx(20 / 21) and verdict != "normal"
-    assert quality.repeated_bytes(list("aéaéaé"), 2) == slow_repeats(list("aéaéaé"), 2)
 
 
 def test_garbled(spark):
