@@ -150,26 +150,21 @@ def turn_reasons(turns: DataFrame, max_punctuation: float = 0.3, allowed: tuple[
 
     The first that holds: punctuation (or empty), language, repetition, duplicate (a question of the same
     dialogue said before). ``language`` names a column with the detected language, else the default detector
-    runs. Cheap rules come first, and only what passes them reaches the Arrow stage. A dialogue may hold any
-    number of turns: earlier questions are found by an aggregation on (dialogue, key), not by collecting it.
+    runs. What an earlier rule rejects is null for the Arrow stages of later ones, which pass nulls over. A dialogue
+    may hold any number of turns: earlier questions are found by an aggregation on (dialogue, key), not by collecting it.
     """
     t = turns.withColumn("key", question_key(F.col("question")))
     first = t.where("key is not null").groupBy("dialogue", "key").agg(F.min("turn").alias("first"))
     t = t.join(first, ["dialogue", "key"], "left")
     empty = F.col("question").isNull() | (F.col("question") == "") | (X.punctuation_ratio(F.col("question")) > max_punctuation)
-    cheap = F.when(empty, "punctuation")
-    if language is not None:
-        cheap = cheap.when(~allowed_language(F.col(language), allowed=allowed), "language")
-    t = t.withColumn("reason", cheap)
-    done, rest = t.where("reason is not null"), t.where("reason is null")
-    if language is None:
-        rest = rest.withColumn("found", language_of(F.col("question"))["language"])
-        rest = rest.withColumn("reason", F.when(~allowed_language(F.col("found"), allowed=allowed), "language")).drop("found")
-    verdict = repetition(F.col("question"))["verdict"]
-    rest = rest.withColumn("verdict", verdict)
+    t = t.withColumn("reason", F.when(empty, "punctuation"))
+    open_ = F.when(F.col("reason").isNull(), F.col("question"))
+    found = F.col(language) if language is not None else language_of(open_)["language"]
+    t = t.withColumn("found", found)
+    t = t.withColumn("reason", F.coalesce("reason", F.when(~allowed_language(F.col("found"), allowed=allowed), "language")))
+    t = t.withColumn("verdict", repetition(open_)["verdict"])
     late = F.when(F.col("verdict") != "normal", F.col("verdict")).when(F.col("turn") > F.col("first"), "duplicate")
-    rest = rest.withColumn("reason", F.coalesce("reason", late)).drop("verdict")
-    return done.unionByName(rest).drop("key", "first")
+    return t.withColumn("reason", F.coalesce("reason", late)).drop("key", "first", "found", "verdict")
 
 
 def dialogue_verdicts(reasons: DataFrame) -> DataFrame:

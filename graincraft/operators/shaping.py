@@ -2,32 +2,52 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graincraft.session import materialize
 
 
-def _ranked(df: DataFrame, order_col: str, value: Column) -> DataFrame:
-    """Rows with ``__before``, the sum of ``value`` (0 or 1) over all rows before in ``order_col``.
+#: The bits of a monotonically increasing id that count the rows of a partition.
+_ROW_BITS = (1 << 33) - 1
 
-    Rows are range-partitioned; only the partitions' totals, one number each, meet in one place.
+
+def _ranked(df: DataFrame, order_col: str, kept: Column | None = None) -> DataFrame:
+    """Rows with ``__before``, the number of (kept) rows before in ``order_col``.
+
+    Rows are range-partitioned once and counted in the order of their partition, in one pass; only the partitions'
+    totals, one number each, meet in one place.
     """
     part = df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
-    part = part.select("*", value.cast("long").alias("__one"), F.spark_partition_id().alias("__part"))
-    part = materialize(part.withColumn("__row", F.monotonically_increasing_id()))
-    sums = part.groupBy("__part").agg(F.sum("__one").alias("__sum"))
+    part = part.withColumn("__part", F.spark_partition_id())
+    if kept is None:
+        part = part.withColumn("__inside", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))).withColumn("__one", F.lit(1).cast("long"))
+    else:
+        part = part.withColumn("__one", F.coalesce(kept, F.lit(False)).cast("long"))
+
+        def count(batches):
+            total = 0
+            for b in batches:
+                ones = b.column(b.schema.get_field_index("__one"))
+                ends = pc.add(pc.cumulative_sum(ones), total)
+                total = ends[-1].as_py() if len(ends) else total
+                yield b.append_column(pa.field("__inside", pa.int64()), pc.subtract(ends, ones))
+
+        part = part.mapInArrow(count, T.StructType([*part.schema.fields, T.StructField("__inside", T.LongType())]))
+    part = materialize(part)
+    sums = part.groupBy("__part").agg(F.max(F.col("__inside") + F.col("__one")).alias("__sum"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
-    inside = Window.partitionBy("__part").orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)
-    own = part.withColumn("__inside", F.coalesce(F.sum("__one").over(inside), F.lit(0)))
-    out = own.join(F.broadcast(sums), "__part").withColumn("__before", F.col("__offset") + F.col("__inside"))
-    return out.drop("__one", "__part", "__row", "__offset", "__inside")
+    out = part.join(F.broadcast(sums), "__part").withColumn("__before", F.col("__offset") + F.col("__inside"))
+    return out.drop("__one", "__part", "__offset", "__inside")
 
 
 def sequential_ids(df: DataFrame, order_col: str, id_col: str = "id") -> DataFrame:
     """Add '0', '1', ... in the order of ``order_col``, which must be unique; without one task holding all rows."""
-    return _ranked(df, order_col, F.lit(1)).withColumn(id_col, F.col("__before").cast("string")).drop("__before")
+    return _ranked(df, order_col).withColumn(id_col, F.col("__before").cast("string")).drop("__before")
 
 
 def ids_of_kept(df: DataFrame, order_col: str, kept: Column, id_col: str = "id") -> DataFrame:
@@ -45,7 +65,7 @@ def union_distinct(shards: list[DataFrame], value: str) -> DataFrame:
 
 def chunk_numbers(df: DataFrame, order_col: str, size: int = 100, ignore_last: bool = False) -> DataFrame:
     """Add ``chunk``, counting chunks of ``size`` rows in order; a short last chunk is dropped on request."""
-    out = _ranked(df, order_col, F.lit(1)).withColumn("chunk", F.floor(F.col("__before") / size)).drop("__before")
+    out = _ranked(df, order_col).withColumn("chunk", F.floor(F.col("__before") / size)).drop("__before")
     if ignore_last:
         full = out.groupBy("chunk").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") == size).drop("__n")
         out = out.join(full, "chunk", "left_semi")
@@ -64,6 +84,22 @@ def mean_score(data: Column, field: str = "score_x_difficulty") -> Column:
     return F.when(F.size(known) > 0, total / F.size(known))
 
 
+def label_records(photo: Column, text: Column, category: Column, extra: Column, frames: str = "h,0,1,2") -> list[Column]:
+    """The columns of the labelling schema: photo id, text, category, other data and the frames to show."""
+    return [photo.cast("string").alias("photoId"), text.alias("hetuInfo"), category.alias("category"), extra.alias("extData"), F.lit(frames).alias("frameIds")]
+
+
+def slim(data: Column, id_: Column) -> Column:
+    """The record of a dialogue that is kept: its turns and its id."""
+    return F.struct(data.alias("data"), id_.alias("id"))
+
+
+def image_text(image: Column, title: Column, description: Column) -> Column:
+    """An image tag, then title and description joined by '<sep>'; nulls are empty."""
+    return F.concat(F.lit('<img src="'), F.coalesce(image, F.lit("")), F.lit('">'), category_path(title, description))
+
+
+# The markup of the card.
 def label_card(image: Column, title: Column, category: Column, brand: Column, short_title: Column, item_id: Column) -> Column:
     """A JSON record with an HTML card for labelling; nulls are empty."""
     e = lambda c: F.coalesce(c, F.lit(""))

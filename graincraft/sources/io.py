@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graincraft.functions.plugins import Encoder, Fetcher, Translator, looks_like_image
+from graincraft.functions.text import page_items
+from graincraft.operators import shaping
 
 DIALOGUE = "data array<struct<question:string,answer:string,score_x_difficulty:double>>, lang string, source string"
 
@@ -45,6 +49,12 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.split_part("value", F.lit("."), F.lit(1)).try_cast("long").alias("id")).where("id is not null")
 
 
+def read_pages(spark: SparkSession, path: str, variable: str, items: str) -> DataFrame:
+    """``(page, title, tags)``: the items embedded in stored pages, one whole file each; pages without any give no rows."""
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("page"), "value")
+    return pages.select("page", F.explode(page_items(F.col("value"), variable, items)).alias("item")).select("page", "item.title", "item.tags")
+
+
 def read_table(spark: SparkSession, path: str, fill: str | None = "") -> DataFrame:
     """A parquet or CSV table with nulls of text columns filled. Spreadsheets are to be exported as one of these."""
     df = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
@@ -72,16 +82,40 @@ def media_seconds(spark: SparkSession, path: str, probe: Callable[[bytes], float
     return files.select("path", "length", seconds("content").alias("seconds"))
 
 
+def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A parquet table, or CSV with a header if ``path`` ends so; one folder of part files, unsorted."""
+    writer = df.write.mode(mode)
+    if path.endswith(".csv"):
+        writer.option("header", True).csv(path)
+    else:
+        writer.parquet(path)
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines in UTF-8, nulls kept; ``mode`` "append" adds files."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def write_mirrored(df: DataFrame, root: str, path: str, file_col: str = "file") -> None:
-    """One folder for each input file, named by its path relative to ``root``."""
-    base = root if root.endswith("/") else root + "/"
-    relative = F.regexp_replace(F.substring_index(F.col(file_col), base, -1), r"\.jsonl$", "")
-    df.withColumn("rel_path", relative).drop(file_col).write.mode("overwrite").partitionBy("rel_path").json(path)
+    """JSON lines under ``path`` in the folder tree that the input files have under ``root``.
+
+    The rows of input file ``a/b.jsonl`` go to the folder ``a/b.jsonl``, as part files of any number. One job writes
+    all of them under escaped names, then each folder, one for each input file, is moved to its place. What was
+    under ``path`` before is removed.
+    """
+    base = root.rstrip("/") + "/"
+    relative = F.substring_index(F.col(file_col), base, -1)
+    df.withColumn("rel_path", relative).drop(file_col).write.mode("overwrite").partitionBy("rel_path").option("ignoreNullFields", False).json(path)
+    context = df.sparkSession.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path
+    top = hadoop(path)
+    fs = top.getFileSystem(context._jsc.hadoopConfiguration())
+    for status in fs.listStatus(top):
+        name = status.getPath().getName()
+        if name.startswith("rel_path="):
+            to = hadoop(top, unquote(name.removeprefix("rel_path=")))
+            fs.mkdirs(to.getParent())
+            fs.rename(status.getPath(), to)
 
 
 def write_sorted_unique(df: DataFrame, path: str) -> None:
@@ -89,11 +123,31 @@ def write_sorted_unique(df: DataFrame, path: str) -> None:
     df.select("value").distinct().orderBy("value").write.mode("overwrite").text(path)
 
 
-def json_dump(df: DataFrame, key: str, value: str | None = None) -> DataFrame:
-    """``(json)``: one sorted array of keys, or one object of keys and values, of a table of report size."""
-    if value is None:
-        return df.agg(F.to_json(F.sort_array(F.collect_list(key))).alias("json"))
-    return df.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value))))).alias("json"))
+def json_dump(df: DataFrame, key: str, value: str | None = None, most: int = 1_000_000) -> DataFrame:
+    """``(json)``: one sorted array of keys, or one object of keys and values, of a table of report size.
+
+    Fails for more than ``most`` rows, as one row has to hold them all; ``write_json_dump`` takes any number.
+    """
+    items = F.collect_list(key) if value is None else F.collect_list(F.struct(key, value))
+    whole = F.to_json(F.sort_array(F.col("items")) if value is None else F.map_from_entries(F.sort_array(F.col("items"))))
+    rows = df.limit(most + 1).agg(items.alias("items"), F.count(F.lit(1)).alias("n"))
+    return rows.select(F.when(F.col("n") <= most, whole).otherwise(F.raise_error(F.lit(f"more than {most} rows for one JSON value"))).alias("json"))
+
+
+def write_json_dump(df: DataFrame, key: str, path: str, value: str | None = None) -> None:
+    """The same as text with a line for each row, sorted over the files; concatenated in order they are the JSON value.
+
+    Rows are range-partitioned, so that no task holds more than its part.
+    """
+    ordered = shaping.sequential_ids(df.select(key, *([value] if value else [])), key, "__at")
+    at, name = F.col("__at").cast("long"), F.to_json(F.array(F.col(key)))
+    text = F.substring(name, 2, F.length(name) - 2)
+    if value is not None:
+        number = F.to_json(F.array(F.col(value)))
+        text = F.concat(text, F.lit(": "), F.substring(number, 2, F.length(number) - 2))
+    body = ordered.select(F.concat(F.when(at == 0, F.lit("  ")).otherwise(F.lit(", ")), text).alias("value"), at.alias("at"))
+    ends = df.sparkSession.createDataFrame([("[" if value is None else "{", -1), ("]" if value is None else "}", 2**62)], "value string, at long")
+    body.unionByName(ends).orderBy("at").select("value").write.mode("overwrite").text(path)
 
 
 def run_sharded(df: DataFrame, schema: str, work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], shards: int) -> DataFrame:
@@ -115,9 +169,17 @@ def translate_column(df: DataFrame, column: str, out: str, translator: Translato
 
 
 def embed_column(df: DataFrame, id_col: str, text_col: str, encoder: Encoder, cache: str | None = None, batch: int = 128) -> DataFrame:
-    """``(id, embedding)`` from an encoder; with ``cache`` read from there if present, else written there first."""
+    """``(id, embedding)`` from an encoder; with ``cache`` read from there if present, else written there first.
+
+    What is kept is known by the rows (ids and texts, in any order) and by the encoder's name, so that a change of either
+    is encoded anew; name an encoder with a version as ``encoder.version``.
+    """
     spark = df.sparkSession
     if cache is not None:
+        each = F.xxhash64(F.col(id_col), F.col(text_col))
+        seen = df.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(each), F.lit(0)), F.coalesce(F.sum(F.pmod(each, F.lit(1 << 31))), F.lit(0))).first()
+        name = (getattr(encoder, "__module__", ""), getattr(encoder, "__qualname__", type(encoder).__name__), str(getattr(encoder, "version", "")))
+        cache = f"{cache}/{hashlib.md5(repr((*seen, *name)).encode()).hexdigest()}"
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache + "/_SUCCESS")
         if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
             return spark.read.parquet(cache)

@@ -124,6 +124,47 @@ def test_simhash_is_close_for_close_texts():
     assert dedup.simhash_of({}) == 0
 
 
+def test_fingerprints_weigh_words_by_frequency(spark):
+    df = spark.createDataFrame([(1, "law and order and law"), (2, "and order law and law"), (3, "and the"), (4, None), (5, "")], "id long, t string")
+    got = {r["id"]: r["simhash"] for r in dedup.fingerprints(df, "t", "id").collect()}
+    idf = {"law": np.log(5 / 2), "and": np.log(5 / 3), "order": np.log(5 / 2)}
+    assert got[1] == got[2] == str(dedup.simhash_of({"law": 2 * idf["law"], "and": 2 * idf["and"], "order": idf["order"]}))
+    assert got[4] == got[5] == "0" != got[3]
+
+
+def test_near_duplicates_lose_no_link(spark):
+    rng = random.Random(4)
+    marks = [rng.getrandbits(128) for _ in range(20)]
+    for m in list(marks):
+        for _ in range(rng.randint(0, 4)):
+            for _ in range(rng.randint(1, 5)):
+                m ^= 1 << rng.randrange(128)
+            marks.append(m)
+    marks += marks[:5]
+    rows = list(enumerate(marks)) + [(1000, None)]
+    df = spark.createDataFrame([(i, None if m is None else str(m)) for i, m in rows], "id long, m string")
+    link = {i: {j for j, n in rows if n is not None and j != i and (m ^ n).bit_count() <= 3} for i, m in rows if m is not None}
+    classes = {}
+    for i in sorted(link):
+        if i not in classes:
+            todo = [i]
+            while todo:
+                x = todo.pop()
+                if x not in classes:
+                    classes[x] = i
+                    todo += link[x]
+    for compared in (512, 2):
+        got = {r["id"]: (r["class_id"], r["links"]) for r in dedup.near_duplicates(df, "id", "m", compared=compared).collect()}
+        assert got == {**{i: (classes[i], len(link[i])) for i in link}, 1000: (1000, 0)}
+    assert dedup.near_duplicates(df.limit(0), "id", "m").count() == 0
+
+
+def test_classes_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "node long, node2 long")
+    got = {r["node"]: r["class_id"] for r in dedup.connected(links).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
 # ------------------------------------------------------------------ shaping and routing
 
 
@@ -220,13 +261,25 @@ def test_kcenter_start_beam_and_limits(spark):
     assert 9 not in {r["id"] for r in sampling.kcenter(df, "id", "v", 3, start=[0, 9]).collect()}
     best = [r["id"] for r in sampling.kcenter(df, "id", "v", 2, beam=3, score_col="s").orderBy("step").collect()]
     assert best == [0, 8]
-    with pytest.raises(ValueError):
-        sampling.kcenter(df, "id", "v", 3, max_rows=5)
     assert sampling.kcenter(df.limit(0), "id", "v", 3).count() == 0
     assert sampling.kcenter_coreset(df, "id", "v", 3).count() == 3
     assert sampling.covering_radius(df, "id", "v", [[0.0, 0.0]]).first()[0] == 9.0
 
 
+def test_kcenter_by_passes_is_the_same(spark):
+    rng = random.Random(2)
+    rows = [(i, [float(rng.randint(0, 9)), float(rng.randint(0, 9))], rng.choice([None, 1.0, 2.0, float("nan")])) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, s double")
+    for more in ({}, {"start": [5, 77], "beam": 6, "score_col": "s"}, {"beam": 500, "score_col": "s"}):
+        want = [tuple(r) for r in sampling.kcenter(df, "id", "v", 7, **more).orderBy("step").collect()]
+        for pool in (2, 500):
+            got = [tuple(r) for r in sampling.kcenter(df, "id", "v", 7, local_rows=10, pool=pool, **more).orderBy("step").collect()]
+            assert got == want
+    assert sampling.kcenter(df, "id", "v", 500, local_rows=10, pool=40).count() == len({tuple(v) for _, v, _ in rows})
+    exact = sampling.kcenter(df, "id", "v", 12).agg(F.min("distance")).first()[0]
+    assert sampling.kcenter_coreset(df, "id", "v", 12, block=50).agg(F.min("distance")).first()[0] >= exact / 2
+
+
 # ------------------------------------------------------------------ sources, sinks, streams
 
 
@@ -247,7 +300,22 @@ def test_files(spark, tmp_path):
     df = io.read_jsonl(spark, str(tmp_path / "in"), "t string", recursive=True)
     assert {r["t"] for r in df.collect()} == {"é", "b"}
     io.write_mirrored(df, str(tmp_path / "in"), str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).count() == 2
+    tree = {p.relative_to(tmp_path / "out").parent.as_posix() for p in (tmp_path / "out").rglob("part-*.json")}
+    assert tree == {"a.jsonl", "sub/b.jsonl"}
+    assert spark.read.json(str(tmp_path / "out/sub/b.jsonl")).first()["t"] == "b"
+    counts = spark.createDataFrame([("é", 2), ('a"', 1)], "k string, n long")
+    for value, want in (("n", {"é": 2, 'a"': 1}), (None, ['a"', "é"])):
+        io.write_json_dump(counts, "k", str(tmp_path / "dump"), value)
+        assert json.loads("\n".join(r[0] for r in spark.read.text(str(tmp_path / "dump")).collect())) == want
+        assert json.loads(io.json_dump(counts, "k", value).first()[0]) == want
+    with pytest.raises(Exception, match="more than 1 rows"):
+        io.json_dump(counts, "k", most=1).collect()
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages/1.html").write_text('<p>x</p><script>window.pageData = {"a": {"items":\n [{"title": "T", "tags": ["u"]}]}};</script>')
+    (tmp_path / "pages/2.html").write_text("<p>none</p>")
+    assert [(r["title"], r["tags"]) for r in io.read_pages(spark, str(tmp_path / "pages"), "window.pageData", "$.a.items").collect()] == [("T", ["u"])]
+    io.write_table(counts, str(tmp_path / "t.csv"))
+    assert io.read_table(spark, str(tmp_path / "t.csv")).count() == 2
     io.write_jsonl(df.select("t"), str(tmp_path / "lines"))
     io.write_jsonl(df.select("t"), str(tmp_path / "lines"), mode="append")
     assert spark.read.json(str(tmp_path / "lines")).count() == 4
@@ -268,9 +336,13 @@ def test_plug_ins(spark, tmp_path):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "id long, t string")
     up = io.translate_column(df, "t", "u", lambda ts: [t.upper() for t in ts])
     assert [r["u"] for r in up.orderBy("id").collect()] == ["A B", None, "C"]
-    first = io.embed_column(df, "id", "t", plugins.hashing_encoder(8), str(tmp_path / "cache"))
-    again = io.embed_column(df, "id", "t", None, str(tmp_path / "cache"))
-    assert first.count() == again.count() == 3
+    encode = plugins.hashing_encoder(8)
+    first = io.embed_column(df, "id", "t", encode, str(tmp_path / "cache"))
+    again = io.embed_column(df.repartition(3), "id", "t", encode, str(tmp_path / "cache"))
+    assert first.inputFiles() == again.inputFiles() and first.count() == again.count() == 3
+    assert io.embed_column(df.where("id = 1"), "id", "t", encode, str(tmp_path / "cache")).count() == 1
+    encode.version = "2"
+    assert io.embed_column(df, "id", "t", encode, str(tmp_path / "cache")).inputFiles() != first.inputFiles()
     urls = spark.createDataFrame([(1, "good"), (2, "bad"), (3, None), (4, "")], "id long, url string")
 
     def fetch(url):
@@ -285,7 +357,6 @@ def test_plug_ins(spark, tmp_path):
     assert plugins.stop_word_detector("the cat is on the mat")[0] == "en"
     assert plugins.stop_word_detector("你好吗")[0] == "zh"
     assert plugins.character_segmenter("你好ab 1") == ["你", "好", "ab", "1"]
-    assert list(plugins.batches(range(5), 2)) == [[0, 1], [2, 3], [4]]
 
 
 def test_stream_judges_like_a_table(spark, tmp_path):
