@@ -86,13 +86,14 @@ def statistics(text: str, common: Common) -> list[float]:
 
 def measures(text: str, common: Common) -> tuple[list[float], list[float]]:
     """The values of ``NAMES`` of the whole text, and with text said many times in a row counted once."""
-    visible = len("".join(text.split()))
+    runs = list(map(len, text.split()))
+    visible = sum(runs)
     if not visible:
         return [0.0] * len(NAMES), [0.0] * len(NAMES)
     escapes = sum(map(len, _ESCAPE.findall(text))) if "&" in text or "\\" in text or "%" in text else 0
     replaced = text.count("\ufffd") + text.count("□")
     shown = lay_out(_ESCAPE.sub(" ", text) if escapes else text)
-    mixed = sum(len(w) for w in _LONG.findall(shown) if any(map(str.isdigit, w)) and any(map(str.islower, w)))
+    mixed = 0 if max(runs) < 13 else sum(len(w) for w in _LONG.findall(shown) if any(map(str.isdigit, w)) and any(map(str.islower, w)))
     shown = level(shown)
     if not shown.isascii():
         shown = _RING.sub(r"\1 ", shown)
@@ -103,50 +104,57 @@ def measures(text: str, common: Common) -> tuple[list[float], list[float]]:
 
 
 def _values(shown: str, found: list[str] | None, visible: int, escapes: int, replaced: int, mixed: int, common: Common) -> list[float]:
-    body = [ln for ln in shown.splitlines() if ln and not ln.isspace() and not set(ln) <= _RULE]
+    body = [ln for ln in shown.splitlines() if ln and not ln.isspace() and ln.strip(_RULE)]
     if len(body) == 1 and found is not None:
         by_line = [found]
     else:
         by_line = [words(ln) for ln in body]
         found = [w for own in by_line for w in own]
+    known, pairs = common.words, common.pairs
+    plain = shown.isascii()
     n = max(1, len(found))
-    uses = Counter(found)
-    chars = max(1, sum(map(len, found)))
+    lengths = list(map(len, found))
+    chars = max(1, sum(lengths))
     solid = max(1, len("".join(shown.split())))
     lines = max(1, len(body))
-    marks = [len(_SEPARATOR.findall(ln.strip(" |"))) for ln in body]
+    apart = _ANY_SEPARATOR.search(shown) is not None  # else no line has cells, and no part is an enumeration
+    marks = [len(_SEPARATOR.findall(ln.strip(" |"))) for ln in body] if apart else [0] * len(body)
     bullets = [_BULLET.match(ln) is not None for ln in body]
     closed = [ln.rstrip(_AFTER)[-1:] in _MARKS for ln in body]
     sizes = [len(own) for own in by_line] or [0]
     cells = Counter(c for c in marks if c >= 2)
     sentences = sentence_chars = sentence_words = 0
-    known, pairs = common.words, common.pairs
-    for part in _sentences(body, by_line, marks, bullets, closed, common):
-        own = [w for w in words(part) if not w.isdigit()]
-        if own and len(own) >= (8 if own[0] >= "㐀" else 4) and not _enumeration(part, own):
-            hits = sum(map(known.__contains__, own))
-            near = sum(map(pairs.__contains__, zip(own, own[1:])))
-            if hits >= 0.5 * len(own) and near > 0.5 * (len(own) - 1) and len(_SEPARATOR.findall(part)) <= 0.2 * len(own):
-                sentences += 1
-                sentence_words += len(own)
-                sentence_chars += len("".join(part.split()))
-    letters = vowelless = common_chars = hexes = 0
-    for w, k in uses.items():
-        size = len(w) * k
-        if w in known:
-            common_chars += size
-            letters += size if len(w) > 2 else 0
-        elif len(w) > 2:
-            if w[0] < "㐀" and w.isalpha():
-                letters += size
-                if len(_VOWEL.findall(w)) * 5 < len(w):
-                    vowelless += size
-        elif len(w) == 2 and _HEX.match(w):
-            hexes += size
+    for part, own in _sentences(body, by_line, marks, bullets, closed, common):
+        own = [w for w in own if not w.isdigit()]
+        k = len(own)
+        if k >= 4 and (k >= 8 or own[0] < "㐀"):
+            if sum(map(known.__contains__, own)) >= 0.5 * k and sum(map(pairs.__contains__, zip(own, own[1:]))) > 0.5 * (k - 1):
+                if not apart or not _enumeration(part, own) and len(_SEPARATOR.findall(part)) <= 0.2 * k:
+                    sentences += 1
+                    sentence_words += k
+                    sentence_chars += len("".join(part.split()))
+    # letters are those of words of three or more; unknown ones count if they are of an alphabet
+    letters = chars - lengths.count(1) - 2 * lengths.count(2)
+    vowelless = unknown = hexes = 0
+    for w in found:
+        if w not in known:
+            size = len(w)
+            unknown += size
+            if size > 2:
+                if w[0] < "㐀" and w.isalpha():
+                    if len(_VOWEL.findall(w)) * 5 < size:
+                        vowelless += size
+                else:
+                    letters -= size
+            elif size == 2 and _HEX.match(w):
+                hexes += size
     digits = sum(map(len, _DIGITS.findall(shown)))
-    strange = 0 if shown.isascii() else len(_STRANGE.findall(shown))
-    parts = [p for ln in body for p in _PARTS.split(ln) if p and not p.isspace()]
-    tiny = sum(len(p) < 40 and (len(p) <= 16 if _HAN_CHAR.search(p) else p.count(" ") < 6) for p in parts)
+    strange = 0 if plain else len(_STRANGE.findall(shown))
+    parts = [p for ln in body for p in _PARTS.split(ln) if p and not p.isspace()] if apart else body
+    if plain:
+        tiny = sum(len(p) < 40 and p.count(" ") < 6 for p in parts)
+    else:
+        tiny = sum(len(p) < 40 and (len(p) <= 16 if _HAN_CHAR.search(p) else p.count(" ") < 6) for p in parts)
     breaks = [_break(a, b) for a, b, c in zip(by_line, by_line[1:], closed) if not c]
     return [
         math.log1p(n),
@@ -155,7 +163,7 @@ def _values(shown: str, found: list[str] | None, visible: int, escapes: int, rep
         digits / solid,
         math.log1p(lines),
         sum(closed) / lines,
-        common_chars / chars,
+        (sum(lengths) - unknown) / chars,
         sum(bullets) / lines,
         sum(sizes) / lines,
         max(cells.values(), default=0) / lines,
@@ -164,7 +172,7 @@ def _values(shown: str, found: list[str] | None, visible: int, escapes: int, rep
         vowelless / max(1, letters),
         replaced / visible,
         strange / solid,
-        math.log1p(max(map(len, uses), default=0)),
+        math.log1p(max(lengths, default=0)),
         mixed / chars,
         hexes / chars,
         (len(_NUMBER.findall(shown)) if digits else 0) / n,
@@ -179,13 +187,13 @@ def _values(shown: str, found: list[str] | None, visible: int, escapes: int, rep
 
 _LONG = re.compile(r"[A-Za-z0-9]{13,}")
 _DIGITS = re.compile(r"\d+")
-_RULE = frozenset("|-: +=")
+_RULE = "|-: +="
 
 
 def _once(text: str, found: list[str]) -> str:
     """``text``, whose words are ``found``, without stretches said before, where these are a large part of it."""
     few = 2 * len(set(found)) <= len(found)
-    if few or any(map(str.__eq__, found, found[1:])):
+    if few or any(a == b == c for a, b, c in zip(found, found[1:], found[2:])):
         text = _AGAIN.sub(lambda m: m.group(1) or m.group(2), text)
     if not few or len(found) < 24:
         return text
@@ -202,6 +210,7 @@ def _once(text: str, found: list[str]) -> str:
 _EMPTY = re.compile(r"^(?:[\d_]|[^\w\n])*$\n?", re.M)
 _STRANGE = re.compile("[\x80-\xa6\xa8\xa9\xac-\xaf\xb1-\xb6\xb8\xb9\xbc-\xbe\ue000-\uf8ffˆ˜šžÿ‚„†‡‰‹›€™œƒ]")
 _PARTS = re.compile(r"[,;，、；/|·•\t]\s*")
+_ANY_SEPARATOR = re.compile(r"[,;，、；/|·•\t]| {4}")
 _HAN_CHAR = re.compile(f"[{_HAN}]")
 
 
@@ -219,17 +228,29 @@ def _break(before: list[str], after: list[str]) -> tuple[str, str] | None:
 
 
 def _sentences(body, by_line, marks, bullets, closed, common: Common):
-    """Sentences, with wrapped lines joined: a line goes on in the next if the words at the break are common neighbours."""
-    held: list[str] = []
-    last: list[str] = []
-    for ln, own, cells, bullet, close in zip(body, by_line, marks, bullets, closed):
-        if held and (bullet or cells >= 2 or not own or _break(last, own) not in common.pairs):
-            yield from _STOP.split(" ".join(held))
+    """Sentences and their words, with wrapped lines joined: a line goes on in the next if the words at the break are common neighbours."""
+    held: list[int] = []
+    for k, own in enumerate(by_line):
+        if held and (bullets[k] or marks[k] >= 2 or not own or _break(by_line[held[-1]], own) not in common.pairs):
+            yield from _parted(held, body, by_line)
             held = []
-        held.append(ln)
-        last = own
-        if close:
-            yield from _STOP.split(" ".join(held))
+        held.append(k)
+        if closed[k]:
+            yield from _parted(held, body, by_line)
             held = []
     if held:
-        yield from _STOP.split(" ".join(held))
+        yield from _parted(held, body, by_line)
+
+
+def _parted(held: list[int], body, by_line):
+    if len(held) == 1:
+        text, own = body[held[0]], by_line[held[0]]
+    else:
+        text, own = " ".join([body[k] for k in held]), [w for k in held for w in by_line[k]]
+    parts = _STOP.split(text)
+    if len(parts) <= 2 and not (len(parts) == 2 and parts[1].strip()):
+        yield parts[0], own  # one sentence: its words are those of its lines
+    else:
+        for p in parts:
+            if p:
+                yield p, words(p)
