@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graincraft.llm.tokens import VOCABULARY, encoder
+from graincraft.llm.tokens import VOCABULARY, encoder, ship
 from graincraft.session import bounded_sample, materialize
 
 #: Token ids are folded into so many features.
@@ -88,6 +88,7 @@ def memberships(df: DataFrame, id_col: str, text_col: str, source_col: str, mode
     Documents of any other source are none of these, and are left out, as are null texts and those without tokens.
     """
     sources = model.sources
+    ship(df, vocabulary)
 
     def run(batches):
         own = encoder(vocabulary)

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graincraft.llm.tokens import VOCABULARY, encoder
+from graincraft.llm.tokens import VOCABULARY, encoder, ship
 from graincraft.session import materialize
 
 #: Bins that a partition keeps open for each capacity.
@@ -68,6 +68,7 @@ class BestFit:
 
 def token_sizes(df: DataFrame, id_col: str, text_col: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """``(id, size)``: tokens of each whole text; null texts are left out, empty ones have size 0."""
+    ship(df, vocabulary)
 
     def run(batches):
         own = encoder(vocabulary)

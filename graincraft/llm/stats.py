@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import contains, not_
 
 from pyspark.sql import DataFrame
 
-from graincraft.llm.counts import frequent_terms
+from graincraft.llm.counts import frequent_words
 from graincraft.llm.fold import level
 from graincraft.llm.repetition import said_before
 
@@ -51,6 +54,10 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text)
 
 
+def leveled_words(text: str) -> list[str]:
+    return words(level(text))
+
+
 def terms(text: str) -> set[str]:
     """The distinct words and pairs of neighbours (with a blank between) of a text, without numbers."""
     own = words(level(text))
@@ -59,6 +66,9 @@ def terms(text: str) -> set[str]:
     return out
 
 
+_NONE: frozenset = frozenset()
+
+
 class Common:
     """Words (single Chinese characters) and pairs of neighbours in at least ``share`` of some texts."""
 
@@ -70,13 +80,30 @@ class Common:
     def of_table(cls, texts: DataFrame, share: float = 0.001) -> "Common":
         """Those of all rows of ``texts``, a column ``t`` without nulls."""
         out = cls([])
-        out._hold(frequent_terms(texts, terms, share, 3))
+        out._hold(frequent_words(texts, leveled_words, share, 3))
         return out
 
     def _hold(self, kept) -> None:
         kept = [tuple(w.split(" ")) for w in kept]
         self.words = frozenset(w for w, *more in kept if not more)
         self.pairs = frozenset(w for w in kept if len(w) == 2)
+        self._after: dict[str, set[str]] | None = None
+
+    def __getstate__(self):
+        return {"words": self.words, "pairs": self.pairs, "_after": None}
+
+    @property
+    def after(self) -> dict[str, set[str]]:
+        """For each word the words that follow it in the common pairs."""
+        if self._after is None:
+            self._after = {}
+            for a, b in self.pairs:
+                self._after.setdefault(a, set()).add(b)
+        return self._after
+
+    def near(self, own: list[str]) -> Iterator[bool]:
+        """For each word of a list but the last whether it makes a common pair with the next."""
+        return map(contains, map(self.after.get, own, repeat(_NONE)), own[1:])
 
 
 def statistics(text: str, common: Common) -> list[float]:
@@ -117,38 +144,44 @@ def _values(shown: str, found: list[str] | None, visible: int, escapes: int, rep
     chars = max(1, sum(lengths))
     solid = max(1, len("".join(shown.split())))
     lines = max(1, len(body))
-    apart = _ANY_SEPARATOR.search(shown) is not None  # else no line has cells, and no part is an enumeration
+    apart = "," in shown or any(map(shown.__contains__, _APART))  # else no line has cells, and no part is an enumeration
     marks = [len(_SEPARATOR.findall(ln.strip(" |"))) for ln in body] if apart else [0] * len(body)
     bullets = [_BULLET.match(ln) is not None for ln in body]
     closed = [ln.rstrip(_AFTER)[-1:] in _MARKS for ln in body]
     sizes = [len(own) for own in by_line] or [0]
     cells = Counter(c for c in marks if c >= 2)
     sentences = sentence_chars = sentence_words = 0
+    digits = sum(map(len, _DIGITS.findall(shown)))
+    is_known = list(map(known.__contains__, found))
+    near = list(common.near(found))
+    stop = 0
     for part, own in _sentences(body, by_line, marks, bullets, closed, common):
-        own = [w for w in own if not w.isdigit()]
+        start, stop = stop, stop + len(own)  # sentences follow each other as their words do
+        if digits:
+            own = [w for w in own if not w.isdigit()]
         k = len(own)
         if k >= 4 and (k >= 8 or own[0] < "㐀"):
-            if sum(map(known.__contains__, own)) >= 0.5 * k and sum(map(pairs.__contains__, zip(own, own[1:]))) > 0.5 * (k - 1):
-                if not apart or not _enumeration(part, own) and len(_SEPARATOR.findall(part)) <= 0.2 * k:
+            whole = k == stop - start
+            hits = sum(is_known[start:stop]) if whole else sum(map(known.__contains__, own))
+            if hits >= 0.5 * k and sum(near[start : stop - 1] if whole else common.near(own)) > 0.5 * (k - 1):
+                if not apart or not _enumeration(part, own) and _few_separators(part, 0.2 * k):
                     sentences += 1
                     sentence_words += k
                     sentence_chars += len("".join(part.split()))
     # letters are those of words of three or more; unknown ones count if they are of an alphabet
     letters = chars - lengths.count(1) - 2 * lengths.count(2)
     vowelless = unknown = hexes = 0
-    for w in found:
-        if w not in known:
-            size = len(w)
-            unknown += size
-            if size > 2:
-                if w[0] < "㐀" and w.isalpha():
-                    if len(_VOWEL.findall(w)) * 5 < size:
-                        vowelless += size
-                else:
-                    letters -= size
-            elif size == 2 and _HEX.match(w):
-                hexes += size
-    digits = sum(map(len, _DIGITS.findall(shown)))
+    for w in compress(found, map(not_, is_known)):
+        size = len(w)
+        unknown += size
+        if size > 2:
+            if w[0] < "㐀" and w.isalpha():
+                if len(_VOWEL.findall(w)) * 5 < size:
+                    vowelless += size
+            else:
+                letters -= size
+        elif size == 2 and _HEX.match(w):
+            hexes += size
     strange = 0 if plain else len(_STRANGE.findall(shown))
     parts = [p for ln in body for p in _PARTS.split(ln) if p and not p.isspace()] if apart else body
     if plain:
@@ -179,7 +212,7 @@ def _values(shown: str, found: list[str] | None, visible: int, escapes: int, rep
         escapes / visible,
         sentence_words / max(1, sentences),
         sum(size <= 8 for size in sizes) / lines,
-        sum(map(pairs.__contains__, zip(found, found[1:]))) / n,
+        sum(near) / n,
         tiny / max(1, len(parts)),
         sum(map(pairs.__contains__, breaks)) / max(1, len(breaks)),
     ]
@@ -193,7 +226,7 @@ _RULE = "|-: +="
 def _once(text: str, found: list[str]) -> str:
     """``text``, whose words are ``found``, without stretches said before, where these are a large part of it."""
     few = 2 * len(set(found)) <= len(found)
-    if few or any(a == b == c for a, b, c in zip(found, found[1:], found[2:])):
+    if few or any(map(str.__eq__, found, found[1:])) and any(a == b == c for a, b, c in zip(found, found[1:], found[2:])):
         text = _AGAIN.sub(lambda m: m.group(1) or m.group(2), text)
     if not few or len(found) < 24:
         return text
@@ -210,16 +243,26 @@ def _once(text: str, found: list[str]) -> str:
 _EMPTY = re.compile(r"^(?:[\d_]|[^\w\n])*$\n?", re.M)
 _STRANGE = re.compile("[\x80-\xa6\xa8\xa9\xac-\xaf\xb1-\xb6\xb8\xb9\xbc-\xbe\ue000-\uf8ffˆ˜šžÿ‚„†‡‰‹›€™œƒ]")
 _PARTS = re.compile(r"[,;，、；/|·•\t]\s*")
-_ANY_SEPARATOR = re.compile(r"[,;，、；/|·•\t]| {4}")
+_CUTS = ",;，、；/|·•\t"
+_APART = (*_CUTS[1:], "    ")
 _HAN_CHAR = re.compile(f"[{_HAN}]")
 
 
 def _enumeration(part: str, own: list[str]) -> bool:
     """Whether ``part`` is four or more short items in a row."""
+    if sum(map(part.count, _CUTS)) < 3:
+        return False
     items = [p for p in _PARTS.split(part) if p]
     return len(items) >= 4 and len(own) <= len(items) * (9 if _HAN_CHAR.search(part) else 4)
 
 
+def _few_separators(part: str, most: float) -> bool:
+    """Whether ``part`` has at most ``most`` separators of cells."""
+    if "    " not in part and sum(map(part.count, "\t|;,，")) <= most:
+        return True
+    return len(_SEPARATOR.findall(part)) <= most
+
+
 def _break(before: list[str], after: list[str]) -> tuple[str, str] | None:
     """The words at a line break, or None where no sentence goes on: short Chinese lines are not wrapped."""
     if not before or not after or before[-1] >= "㐀" and len(before) < 10:

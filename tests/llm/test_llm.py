@@ -443,6 +443,17 @@ def test_packing_keeps_every_token(spark):
         packing.pack(items, {1: 0})
 
 
+def test_the_vocabulary_is_shipped(spark, tmp_path):
+    import shutil
+
+    copy = tmp_path / "own.tiktoken"
+    shutil.copy(packing.VOCABULARY, copy)
+    df = frame(spark, [(1, "two words")])
+    sizes = packing.token_sizes(df, "id", "t", str(copy))
+    copy.unlink()  # a worker finds only what was sent to it
+    assert [r["size"] for r in sizes.collect()] == [r["size"] for r in packing.token_sizes(df, "id", "t").collect()]
+
+
 def test_token_sizes(spark):
     got = {r["id"]: r["size"] for r in packing.token_sizes(frame(spark, [(1, None), (2, ""), (3, "hello world"), (4, "a" * 20_000)]), "id", "t").collect()}
     assert 1 not in got and got[2] == 0 and got[3] >= 2 and got[4] > 1000

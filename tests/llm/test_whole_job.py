@@ -2,11 +2,12 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from graincraft.llm import pairs, quality, repetition, stats, subset
+from graincraft.llm import counts, pairs, quality, repetition, stats, subset
 from graincraft.llm.queries import QUERIES
 from graincraft.session import table
 
@@ -112,6 +113,13 @@ def test_the_judge_reads_every_answer(spark, monkeypatch):
     assert "zirconium" in pairs.fit_judge(df, "q", "a", "l", "o", fit_rows=4).vocabulary.known
 
 
+def test_words_and_pairs_are_counted_by_text():
+    texts = ["a b a b 7", "", "b a 7 7", "谢谢 a"]
+    got = counts.words_and_pairs([stats.leveled_words(t) for t in texts])
+    assert dict(zip(got["term"], got["n"])) == dict(Counter(w for t in texts for w in stats.terms(t)))
+    assert counts.words_and_pairs([[], []]).empty
+
+
 def test_common_words_are_those_of_all_rows(spark):
     rows = [(i, "what is written here" + (" zirconium oxide 77" if i % 10 == 0 else "")) for i in range(60)]
     df = spark.createDataFrame(rows, "o long, t string")
