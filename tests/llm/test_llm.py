@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from graincraft.llm import boost, copies, fold, language, lookalike, mixing, packing, pairs, quality, repetition, spans, stats, subset
+from graincraft.llm import boost, copies, fold, language, lookalike, mixing, packing, pairs, quality, repetition, spans, stats, subset, tokens
 
 LONG = "x" * 100_000
 
@@ -443,15 +443,15 @@ def test_packing_keeps_every_token(spark):
         packing.pack(items, {1: 0})
 
 
-def test_the_vocabulary_is_shipped(spark, tmp_path):
-    import shutil
-
-    copy = tmp_path / "own.tiktoken"
-    shutil.copy(packing.VOCABULARY, copy)
-    df = frame(spark, [(1, "two words")])
-    sizes = packing.token_sizes(df, "id", "t", str(copy))
-    copy.unlink()  # a worker finds only what was sent to it
-    assert [r["size"] for r in sizes.collect()] == [r["size"] for r in packing.token_sizes(df, "id", "t").collect()]
+def test_the_vocabulary_is_shipped(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(spark.sparkContext, "addFile", sent.append)
+    for _ in range(2):
+        packing.token_sizes(frame(spark, [(1, "two words")]), "id", "t", "/nowhere/own.tiktoken")
+    assert sent == ["/nowhere/own.tiktoken"]
+    # where a worker has no such file, it takes the one that was sent
+    monkeypatch.setattr(tokens.SparkFiles, "get", lambda name: packing.VOCABULARY if name == "own.tiktoken" else name)
+    assert tokens.encode("two words", "/nowhere/own.tiktoken") == tokens.encode("two words")
 
 
 def test_token_sizes(spark):
