@@ -145,17 +145,26 @@ def question_key(c: Column) -> Column:
     return F.md5(X.normalize(c))
 
 
+def repeated_questions(turns: DataFrame) -> DataFrame:
+    """``turns (dialogue, turn, question)`` with ``repeated``: whether an earlier turn of the dialogue asks the same.
+
+    ``turn`` is unique within a dialogue. Null questions repeat nothing. Found by an aggregation on (dialogue, key), so
+    that a dialogue may hold any number of turns.
+    """
+    t = turns.withColumn("key", question_key(F.col("question")))
+    first = t.where("key is not null").groupBy("dialogue", "key").agg(F.min("turn").alias("first"))
+    t = t.join(first, ["dialogue", "key"], "left")
+    return t.withColumn("repeated", F.coalesce(F.col("turn") > F.col("first"), F.lit(False))).drop("key", "first")
+
+
 def turn_reasons(turns: DataFrame, max_punctuation: float = 0.3, allowed: tuple[str, ...] = ("zh", "en"), language: str | None = None) -> DataFrame:
     """``reason`` of each turn of ``turns (dialogue, turn, question)``, null if it passes.
 
     The first that holds: punctuation (or empty), language, repetition, duplicate (a question of the same
     dialogue said before). ``language`` names a column with the detected language, else the default detector
-    runs. What an earlier rule rejects is null for the Arrow stages of later ones, which pass nulls over. A dialogue
-    may hold any number of turns: earlier questions are found by an aggregation on (dialogue, key), not by collecting it.
+    runs. What an earlier rule rejects is null for the Arrow stages of later ones, which pass nulls over.
     """
-    t = turns.withColumn("key", question_key(F.col("question")))
-    first = t.where("key is not null").groupBy("dialogue", "key").agg(F.min("turn").alias("first"))
-    t = t.join(first, ["dialogue", "key"], "left")
+    t = repeated_questions(turns)
     empty = F.col("question").isNull() | (F.col("question") == "") | (X.punctuation_ratio(F.col("question")) > max_punctuation)
     t = t.withColumn("reason", F.when(empty, "punctuation"))
     open_ = F.when(F.col("reason").isNull(), F.col("question"))
@@ -163,8 +172,8 @@ def turn_reasons(turns: DataFrame, max_punctuation: float = 0.3, allowed: tuple[
     t = t.withColumn("found", found)
     t = t.withColumn("reason", F.coalesce("reason", F.when(~allowed_language(F.col("found"), allowed=allowed), "language")))
     t = t.withColumn("verdict", repetition(open_)["verdict"])
-    late = F.when(F.col("verdict") != "normal", F.col("verdict")).when(F.col("turn") > F.col("first"), "duplicate")
-    return t.withColumn("reason", F.coalesce("reason", late)).drop("key", "first", "found", "verdict")
+    late = F.when(F.col("verdict") != "normal", F.col("verdict")).when(F.col("repeated"), "duplicate")
+    return t.withColumn("reason", F.coalesce("reason", late)).drop("repeated", "found", "verdict")
 
 
 def dialogue_verdicts(reasons: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graincraft.functions import text as X
-from graincraft.functions.plugins import identity_translator
+from graincraft.functions.plugins import STOP_WORDS, hashing_encoder, identity_translator
 from graincraft.operators import dedup, keywords, metrics, quality, routing, sampling, shaping
 from graincraft.plans import sql as S
-from graincraft.session import table
+from graincraft.session import new_folder, table
 from graincraft.sources import io
 from graincraft.streaming import lines
 
@@ -72,9 +72,7 @@ def mask_emails(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "SELECT row_id, "
-    + (lambda e: [e := S.rx(e, f"^{m}+|{m}+$", m) for m in X.DIRECTION_MARKS][-1])("question")
-    + " AS trimmed FROM conversation"
+    f"SELECT row_id, {S.trim_marks('question')} AS trimmed FROM conversation"
 )
 def trim_marks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversation").select("row_id", X.trim_marks(F.col("question")).alias("trimmed"))
@@ -90,24 +88,30 @@ def punct_ratio(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversation").select("row_id", F.round(r, 6).alias("ratio"), rejected.alias("rejected"))
 
 
-@query(
-    f"""WITH t AS (SELECT row_id, question, {S.words_only('question')} AS w FROM conversation WHERE question <> ''),
+def _garbled_sql(segments: str = "") -> str:
+    return f"""WITH t AS (SELECT row_id, question, {S.words_only('question')} AS w FROM conversation WHERE question <> ''),
     k AS (SELECT *, length(w) - length(replace(w, ' ', '')) > length(w) * 0.05 AS is_word FROM t),
     u AS (SELECT row_id, is_word, CASE WHEN is_word THEN string_split(w, ' ') ELSE string_split(w, '') END AS units FROM k),
     e AS (SELECT row_id, is_word, len(units) AS total, unnest(units) AS unit, unnest(range(1, len(units) + 1)) AS pos FROM u WHERE len(units) > 0),
     n AS (SELECT *, row_number() OVER (PARTITION BY row_id, unit ORDER BY pos) AS nth FROM e),
     m AS (SELECT row_id, any_value(is_word) AS is_word, max(nth) AS n, any_value(total) AS total FROM n GROUP BY row_id),
     b AS (SELECT n.row_id, arg_min(n.unit, n.pos) AS unit FROM n JOIN m ON n.row_id = m.row_id AND n.nth = m.n GROUP BY n.row_id)
-    SELECT k.row_id, CASE WHEN {S.count('k.question', '�□')} / length(k.question) > 0.01 THEN 'replaced'
+    SELECT k.row_id, CASE WHEN {S.count('k.question', '�□')} / length(k.question) > 0.01 THEN 'replaced'{segments}
       WHEN m.n > m.total * 0.4 THEN CASE WHEN m.is_word THEN 'word=' ELSE 'char=' END || b.unit END AS reason
     FROM k LEFT JOIN m ON k.row_id = m.row_id LEFT JOIN b ON k.row_id = b.row_id"""
-)
+
+
+# Single Chinese characters and runs of other letters or digits.
+_SEGMENTS = rf"len(regexp_extract_all({S.rx('k.question', '([一-龥])', chr(32) + chr(92) + '1 ')}, '[' || chr(92) || 'p{{L}}' || chr(92) || 'p{{N}}]+'))"
+
+
+@query(_garbled_sql())
 def garbled(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "conversation").where("question <> ''")
     return rows.select("row_id", quality.garbled(F.col("question")).alias("reason"))
 
 
-@query()
+@query(_garbled_sql(f" WHEN length(k.question) < 1.2 * {_SEGMENTS} THEN 'segments'"))
 def garbled_chinese(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "conversation").where("question <> ''")
     return rows.select("row_id", quality.garbled(F.col("question"), F.lit("zh")).alias("reason"))
@@ -154,10 +158,16 @@ def top_ngram(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("t.gram is not null").select("row_id", "t.gram", "t.n", F.round("t.share", 6).alias("share"))
 
 
-@query()
+_SHARES = [f"top_{n}" for n in quality.TOP_GRAMS] + [f"duplicate_{n}" for n in quality.REPEATED_GRAMS]
+
+
+@query(
+    f"""WITH RECURSIVE {S.repetition("SELECT row_id AS id, question AS text FROM conversation")}
+    SELECT id AS row_id, verdict, {", ".join(f"round({c}, 6) AS {c}" for c in _SHARES)} FROM rep"""
+)
 def dup_ngram(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "conversation").where("question is not null")
-    return rows.select("row_id", quality.repetition(F.col("question")).alias("r")).select("row_id", "r.verdict", "r.shares")
+    rows = table(spark, d, "conversation").where("question is not null").select("row_id", quality.repetition(F.col("question")).alias("r"))
+    return rows.select("row_id", "r.verdict", *[F.round(F.try_element_at("r.shares", F.lit(c)), 6).alias(c) for c in _SHARES])
 
 
 @query(
@@ -199,10 +209,20 @@ def simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.clean_corpus(corpus, "content", "content_id").select("content_id", "md5", "simhash")
 
 
-@query("SELECT site, min(doc_id) AS doc_id, arg_min(title, doc_id) AS title FROM (SELECT site, doc_id, coalesce(title, '') AS title FROM documents) GROUP BY site")
+@query(
+    """SELECT site, min(doc_id) AS doc_id, arg_min(title, doc_id) AS title FROM (SELECT site, doc_id, coalesce(title, '') AS title FROM documents)
+    WHERE NOT (contains(title, 'Logic') OR contains(title, 'Logik')) GROUP BY site"""
+)
 def first_of_site(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("site", "doc_id", F.coalesce("title", F.lit("")).alias("title"))
-    return dedup.first_wins(docs, ["site"], "doc_id")
+    return dedup.first_wins(shaping.without_words(docs, "title", ["Logic", "Logik"]), ["site"], "doc_id")
+
+
+@query()
+def near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    corpus = table(spark, d, "corpus").select("content_id", "content").where("content is not null")
+    marked = dedup.fingerprints(corpus, "content", "content_id")
+    return dedup.near_duplicates(marked, "content_id", "simhash").withColumnRenamed("id", "content_id")
 
 
 # ------------------------------------------------------------------ dialogues
@@ -218,32 +238,44 @@ def _turns(spark: SparkSession, d: str) -> DataFrame:
     SELECT row_id, k IS NOT NULL AND row_number() OVER (PARTITION BY conv_id, k ORDER BY turn, row_id) > 1 AS repeated FROM t"""
 )
 def repeated_question(spark: SparkSession, d: str) -> DataFrame:
-    t = _turns(spark, d).withColumn("key", quality.question_key(F.col("question")))
-    first = t.groupBy("dialogue", "key").agg(F.min("turn").alias("first"))
-    out = t.join(first, ["dialogue", "key"], "left").select("row_id", (F.col("key").isNotNull() & (F.col("turn") > F.col("first"))).alias("repeated"))
-    return out.withColumn("repeated", F.coalesce("repeated", F.lit(False)))
+    return quality.repeated_questions(_turns(spark, d)).select("row_id", "repeated")
 
 
-@query()
+# The turns of the table with the reason of each; the label stands for the detected language.
+_REASONS = f"""WITH RECURSIVE {S.repetition("SELECT row_id AS id, question AS text FROM conversation")},
+    k AS (SELECT row_id, conv_id, turn, question, lang, md5({S.normalize('question')}) AS k FROM conversation),
+    o AS (SELECT *, k IS NOT NULL AND row_number() OVER (PARTITION BY conv_id, k ORDER BY turn, row_id) > 1 AS again FROM k),
+    reasons AS (SELECT o.*, CASE WHEN question IS NULL OR question = '' OR {S.count('question', X.MARKS)} / length(question) > 0.3 THEN 'punctuation'
+      WHEN NOT coalesce(lang IN ('zh', 'en'), false) THEN 'language' WHEN rep.verdict <> 'normal' THEN rep.verdict WHEN again THEN 'duplicate' END AS reason
+      FROM o LEFT JOIN rep ON o.row_id = rep.id),
+    verdicts AS (SELECT conv_id AS dialogue, arg_min(reason, turn::BIGINT * 100000000 + row_id) FILTER (reason IS NOT NULL) AS reason FROM reasons GROUP BY conv_id)"""
+
+
+@query(f"{_REASONS} SELECT dialogue, reason IS NULL AS kept, reason FROM verdicts")
 def dialogue_verdict(spark: SparkSession, d: str) -> DataFrame:
-    return quality.dialogue_verdicts(quality.turn_reasons(_turns(spark, d)))
+    return quality.dialogue_verdicts(quality.turn_reasons(_turns(spark, d), language="lang"))
 
 
-@query()
+@query(f"{_REASONS} SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM verdicts GROUP BY 1")
 def dialogue_counters(spark: SparkSession, d: str) -> DataFrame:
-    return quality.reason_counts(quality.dialogue_verdicts(quality.turn_reasons(_turns(spark, d))))
+    return quality.reason_counts(quality.dialogue_verdicts(quality.turn_reasons(_turns(spark, d), language="lang")))
+
+
+@query()
+def detected_dialogue_verdict(spark: SparkSession, d: str) -> DataFrame:
+    return quality.dialogue_verdicts(quality.turn_reasons(_turns(spark, d)))
 
 
 @query(
     f"""WITH p AS (SELECT line_id, line FROM dialogue_line WHERE {_VALID_LINE}),
     t AS (SELECT line_id, json_extract(line, '$.data[*]') AS data FROM p),
     c AS (SELECT line_id, unnest(data) AS turn, unnest(range(len(data))) AS n FROM t)
-    SELECT line_id, n, {S.normalize("json_extract_string(turn, '$.question')")} AS question FROM c"""
+    SELECT line_id, n, {S.normalize("json_extract_string(turn, '$.question')")} AS question, {S.trim_marks("json_extract_string(turn, '$.answer')")} AS answer FROM c"""
 )
 def normalized_turns(spark: SparkSession, d: str) -> DataFrame:
     rows = io.parse_lines(table(spark, d, "dialogue_line"), "line").where("valid")
     turns = rows.select("line_id", F.posexplode(quality.clean_turns(F.col("data"))).alias("n", "turn"))
-    return turns.select("line_id", F.col("n").cast("long").alias("n"), "turn.question")
+    return turns.select("line_id", F.col("n").cast("long").alias("n"), "turn.question", "turn.answer")
 
 
 @query(
@@ -283,7 +315,16 @@ def json_scan(spark: SparkSession, d: str) -> DataFrame:
     return io.parse_lines(table(spark, d, "dialogue_line"), "line").select("line_id", "valid", "shard")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE p AS (SELECT line_id, line, {_VALID_LINE} AS valid FROM dialogue_line),
+    q AS (SELECT line_id, line, valid, CASE WHEN valid THEN list_transform(json_extract(line, '$.data[*]'), lambda x: json_extract_string(x, '$.question')) END AS qs FROM p),
+    {S.repetition("SELECT line_id AS id, array_to_string(list_transform(qs, lambda x: coalesce(x, '')), chr(10)) AS text FROM q")},
+    j AS (SELECT q.line_id, q.line, CASE WHEN NOT coalesce(valid, false) THEN 'invalid' WHEN qs IS NULL OR len(qs) = 0 THEN 'empty'
+      WHEN len(list_filter(qs, lambda x: coalesce(x, '') = '' OR {S.count('x', X.MARKS)} / length(x) > 0.3)) > 0 THEN 'punctuation'
+      WHEN len(list_distinct(list_transform(qs, lambda x: {S.normalize('x')}))) < len(qs) THEN 'duplicate'
+      WHEN rep.verdict <> 'normal' THEN rep.verdict END AS reason FROM q LEFT JOIN rep ON q.line_id = rep.id)
+    SELECT md5(line) AS line_md5, reason IS NULL AS kept, reason FROM j"""
+)
 def judged_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.judge_lines(table(spark, d, "dialogue_line"), "line").select(F.md5("value").alias("line_md5"), "kept", "reason")
 
@@ -328,6 +369,31 @@ def label_schema(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT doc_id::VARCHAR AS "photoId", '<img src="' || coalesce(site, '') || '">' || coalesce(title, '') || '<sep>' || coalesce(lang, '') AS "hetuInfo",
+    coalesce(source, '') || '<sep>' || coalesce(lang, '') AS category, to_json({site: site, n_chars: n_chars})::VARCHAR AS "extData", 'h,0,1,2' AS "frameIds" FROM documents
+    WHERE title IS NULL OR NOT (contains(title, 'Logic') OR contains(title, 'Logik')) QUALIFY row_number() OVER (PARTITION BY site ORDER BY doc_id) = 1"""
+)
+def label_records(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("site", "doc_id", "title", "lang", "source", "n_chars")
+    rows = dedup.first_wins(shaping.without_words(docs, "title", ["Logic", "Logik"]), ["site"], "doc_id")
+    c = F.col
+    extra = F.to_json(F.struct("site", "n_chars"), {"ignoreNullFields": "false"})
+    return rows.select(
+        *shaping.label_records(c("doc_id"), shaping.image_text(c("site"), c("title"), c("lang")), shaping.category_path(c("source"), c("lang")), extra)
+    )
+
+
+@query(
+    f"""WITH p AS (SELECT line_id, line FROM dialogue_line WHERE {_VALID_LINE})
+    SELECT line_id::VARCHAR AS id, len(json_extract(line, '$.data[*]')) AS turns, json_extract_string(line, '$.data[0].question') AS first FROM p"""
+)
+def slim_records(spark: SparkSession, d: str) -> DataFrame:
+    rows = io.parse_lines(table(spark, d, "dialogue_line"), "line").where("valid")
+    rec = rows.select(shaping.slim(F.col("data"), F.col("line_id").cast("string")).alias("r"))
+    return rec.select("r.id", F.size("r.data").cast("long").alias("turns"), F.get("r.data", 0)["question"].alias("first"))
+
+
 @query(
     """SELECT doc_id, to_json({text: '<img style="width: 200px; height: 200px;" src="' || coalesce(site, '') || '"/><br>' || coalesce(title, '') || '(' ||
     coalesce(source, '') || ' ' || coalesce(lang, '') || ')<br>' || coalesce(title, ''), category: doc_id::VARCHAR})::VARCHAR AS card FROM documents"""
@@ -344,10 +410,18 @@ def lang_filter(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("row_id", quality.allowed_language(F.lower(F.trim("lang"))).alias("allowed"))
 
 
-@query()
+_TITLE_LANGUAGE, _TITLE_SHARE = S.stop_word_language("title", STOP_WORDS)
+
+
+@query(
+    f"""SELECT doc_id, language, round(probability, 6) AS probability, language IN ('zh', 'en') AND probability >= 0.65 AS kept
+    FROM (SELECT doc_id, {_TITLE_LANGUAGE} AS language, {_TITLE_SHARE} AS probability FROM documents WHERE title IS NOT NULL)"""
+)
 def detected_title_language(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").where("title is not null")
-    return rows.select("doc_id", quality.language_of(F.col("title")).alias("l")).select("doc_id", "l.language", "l.probability")
+    found = rows.select("doc_id", quality.language_of(F.col("title")).alias("l")).select("doc_id", "l.language", "l.probability")
+    kept = quality.allowed_language(F.col("language"), F.col("probability"), min_score=0.65)
+    return found.select("doc_id", "language", F.round("probability", 6).alias("probability"), kept.alias("kept"))
 
 
 @query("SELECT doc_id, split_part(site, '.', 2) AS name, list_last(string_split(replace(site, '.', '/'), '/')) AS file FROM documents")
@@ -373,9 +447,108 @@ def translated(spark: SparkSession, d: str) -> DataFrame:
     return io.translate_column(rows, "content", "translated", identity_translator).select("content_id", "translated")
 
 
+# ------------------------------------------------------------------ files and plug-ins
+
+
+@query(f"SELECT shard, count(*) AS n FROM dialogue_line WHERE {_VALID_LINE} AND shard IS NOT NULL GROUP BY shard")
+def mirrored_tree(spark: SparkSession, d: str) -> DataFrame:
+    """A tree of files is read with their paths and written again as the same tree, of which each folder is counted."""
+    base = new_folder(spark)
+    lines_ = table(spark, d, "dialogue_line").where("shard is not null and line is not null and line not like '%\n%'")
+    lines_.select("shard", "line").write.partitionBy("shard").text(f"{base}/in")
+    rows = io.read_jsonl(spark, f"{base}/in", f"{io.DIALOGUE}, _corrupt_record string", recursive=True, glob="*.txt")
+    io.write_mirrored(rows.where("_corrupt_record is null").drop("_corrupt_record"), f"{base}/in", f"{base}/out")
+    out = io.read_jsonl(spark, f"{base}/out", "lang string", recursive=True, glob="*.json")
+    return out.groupBy(F.regexp_extract("file", "/shard=([^/]+)/", 1).alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, coalesce(title, '') AS title, coalesce(source, '') AS source FROM documents")
+def exchanged_table(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents")
+    path = f"{new_folder(spark)}/table.csv"
+    io.write_table(rows.select("doc_id", "title", "source"), path)
+    return io.read_table(spark, path).select(F.col("doc_id").cast("long").alias("doc_id"), "title", "source")
+
+
+@query("SELECT doc_id AS id FROM documents WHERE doc_id % 3 = 0")
+def listed_ids(spark: SparkSession, d: str) -> DataFrame:
+    path = f"{new_folder(spark)}/ids"
+    names = F.when(F.col("doc_id") % 3 == 0, F.concat(F.col("doc_id"), F.lit(".jpg"))).otherwise(F.concat(F.lit("x"), F.col("doc_id"), F.lit(".jpg")))
+    table(spark, d, "documents").select(names.alias("value")).write.text(path)
+    return io.read_ids(spark, path)
+
+
+@query("SELECT word, sum(cnt)::BIGINT AS cnt FROM (SELECT lower(word) AS word, cnt FROM keyword_count WHERE word IS NOT NULL) GROUP BY word")
+def counts_of_json(spark: SparkSession, d: str) -> DataFrame:
+    merged = keywords.merge_counts(table(spark, d, "keyword_count"))
+    dumped = io.json_dump(merged, "word", "cnt").select(F.explode(io.counts_of_json(F.col("json"))).alias("e"))
+    return dumped.select(F.col("e.key").alias("word"), F.col("e.value").alias("cnt"))
+
+
+@query(
+    """SELECT doc_id AS id, doc_id % 3 <> 0 AND doc_id % 2 = 0 AS ok, (CASE WHEN doc_id % 3 = 0 THEN 0 WHEN doc_id % 2 = 0 THEN 8 ELSE 4 END)::BIGINT AS size
+    FROM documents WHERE site IS NOT NULL"""
+)
+def downloads(spark: SparkSession, d: str) -> DataFrame:
+    def fetch(url: str) -> bytes | None:
+        n = int(url.rsplit("/", 1)[1])
+        if n % 3 == 0:
+            raise OSError(url)
+        return b"\x89PNG\r\n\x1a\n" if n % 2 == 0 else b"text"
+
+    urls = table(spark, d, "documents").select("doc_id", F.concat("site", F.lit("/"), "doc_id").alias("url"))
+    return io.download(urls, "doc_id", "url", fetch)
+
+
+@query("SELECT row_id, length(question) AS n FROM conversation WHERE question IS NOT NULL")
+def sharded_work(spark: SparkSession, d: str) -> DataFrame:
+    def work(frames):
+        for pdf in frames:
+            yield pdf.assign(n=[len(q) for q in pdf["question"]])[["row_id", "n"]]
+
+    rows = table(spark, d, "conversation").where("question is not null").select("row_id", "question")
+    return io.run_sharded(rows, "row_id long, n long", work, 100)
+
+
+@query(
+    """SELECT doc_id, length(title) AS n, length(regexp_replace(title, '[ -~]', '', 'g')) AS unknown, md5(regexp_replace(title, '[^ -~]', '', 'g')) AS joined
+    FROM documents WHERE title IS NOT NULL"""
+)
+def byte_pieces(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").where("title is not null")
+    ids = F.transform(F.split("title", ""), lambda c: F.ascii(c))
+    own = rows.select("doc_id", quality.pieces(ids, {i: bytes([i]) for i in range(32, 127)}).alias("p"))
+    known = F.filter("p", lambda x: x.isNotNull())
+    joined = F.aggregate(known, F.lit("").cast("binary"), lambda s, x: F.concat(s, x))
+    return own.select("doc_id", F.size("p").cast("long").alias("n"), (F.size("p") - F.size(known)).cast("long").alias("unknown"), F.md5(joined).alias("joined"))
+
+
+@query()
+def media_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """The files of the table folder whose name holds 'parquet', with a duration found in their content."""
+    files = io.media_seconds(spark, d, lambda content: len(content) / 1000, "*parquet*")
+    listed = io.list_media(spark, d, "*parquet*").select(F.col("path").alias("file"), F.col("length").alias("listed"))
+    rows = files.join(listed, files["path"] == listed["file"])
+    return rows.select(X.file_name(F.col("path")).alias("name"), X.size_text(F.col("listed")).alias("size"), X.duration_text(F.col("seconds")).alias("long"))
+
+
 # ------------------------------------------------------------------ keywords
 
 
+@query(
+    f"""WITH t AS (SELECT {S.tokens("coalesce(title, '')")} || [coalesce(source, ''), coalesce(lang, '')] AS w FROM documents), l AS (SELECT unnest(w) AS word FROM t)
+    SELECT word, count(*) AS cnt FROM l WHERE word <> '' GROUP BY word"""
+)
+def page_words(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that embed an item each; the words of its marked-up title and its tags are counted."""
+    t = lambda c: F.coalesce(F.col(c), F.lit(""))
+    item = F.struct(F.concat(F.lit("<b>"), t("title"), F.lit("</b>")).alias("title"), F.array(t("source"), t("lang")).alias("tags"))
+    data = F.to_json(F.struct(F.struct(F.array(item).alias("items")).alias("result")))
+    pages = table(spark, d, "documents").select(F.concat(F.lit("<html><script>window.pageData = "), data, F.lit(";</script>")).alias("html"))
+    items = pages.select(F.explode(X.page_items(F.col("html"), "window.pageData", "$.result.items")).alias("i"))
+    return keywords.count_words(items, X.tokens(X.strip_html(F.col("i.title"))), F.col("i.tags"))
+
+
 @query(
     f"""WITH t AS (SELECT {S.tokens('lower(title)')} AS w FROM documents WHERE title IS NOT NULL), l AS (SELECT unnest(w) AS word FROM t)
     SELECT word, count(*) AS cnt FROM l GROUP BY word"""
@@ -494,6 +667,29 @@ def kcenter_coreset(spark: SparkSession, d: str) -> DataFrame:
     return sampling.kcenter_coreset(table(spark, d, "embeddings"), "vec_id", "embedding", 8)
 
 
+@query(S.kcenter(4, start=(3, 5, 8)))
+def warm_start(spark: SparkSession, d: str) -> DataFrame:
+    out = sampling.kcenter(table(spark, d, "embeddings"), "vec_id", "embedding", 4, start=[3, 5, 8])
+    return out.withColumn("distance", F.round("distance", 6))
+
+
+@query(S.kcenter(6, 50))
+def kcenter_by_passes(spark: SparkSession, d: str) -> DataFrame:
+    out = sampling.kcenter(table(spark, d, "embeddings"), "vec_id", "embedding", 6, beam=50, score_col="label", local_rows=0, pool=100)
+    return out.withColumn("distance", F.round("distance", 6))
+
+
+@query()
+def sampled_dialogues(spark: SparkSession, d: str) -> DataFrame:
+    """The whole way of a sample: dialogues, their questions and mean score, vectors, choice, and the chosen records."""
+    rows = io.parse_lines(table(spark, d, "dialogue_line"), "line").where("valid")
+    data = F.col("data")
+    rows = rows.select("line_id", "data", shaping.joined_questions(data).alias("text"), shaping.mean_score(data).alias("score")).where("text is not null")
+    vectors = io.embed_column(rows, "line_id", "text", hashing_encoder(64), cache=new_folder(spark)).withColumnRenamed("id", "line_id")
+    chosen = sampling.kcenter(vectors.join(rows.select("line_id", "score"), "line_id"), "line_id", "embedding", 20, beam=100, score_col="score")
+    return sampling.gather(rows.select("line_id", "score", F.size("data").alias("turns")), "line_id", chosen)
+
+
 _ZERO = "[" + ", ".join(["0.0"] * 64) + "]"
 
 

@@ -29,17 +29,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    Cuts the lineage (a lost executor costs no recomputation), gives the optimizer the
-    true size of the table, and keeps Python stages from being run once per consumer.
-    The files are removed when the driver ends, or by ``release()`` of the result once every table
-    that was made from it is itself written.
-    """
-    spark = df.sparkSession
+def new_folder(spark: SparkSession) -> str:
+    """A name for a folder in the shared folder; what is written there is removed when the driver ends."""
     path = f"{shared_dir(spark)}/graincraft-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    atexit.register(_remover(spark, path))
+    return path
+
+
+def _remover(spark: SparkSession, path: str):
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -49,9 +46,22 @@ def materialize(df: DataFrame) -> DataFrame:
         except Exception:
             pass  # the JVM may have ended already
 
-    atexit.register(remove)
+    return remove
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts the lineage (a lost executor costs no recomputation), gives the optimizer the
+    true size of the table, and keeps Python stages from being run once per consumer.
+    The files are removed when the driver ends, or by ``release()`` of the result once every table
+    that was made from it is itself written.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    out.release = remove
+    out.release = _remover(spark, path)
     return out
 
 

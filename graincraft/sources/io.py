@@ -17,12 +17,12 @@ from graincraft.operators import shaping
 DIALOGUE = "data array<struct<question:string,answer:string,score_x_difficulty:double>>, lang string, source string"
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str, recursive: bool = False) -> DataFrame:
-    """JSON lines with a declared schema. With ``recursive``, all ``*.jsonl`` files below, with ``file``, their path."""
+def read_jsonl(spark: SparkSession, path: str, schema: str, recursive: bool = False, glob: str = "*.jsonl") -> DataFrame:
+    """JSON lines with a declared schema. With ``recursive``, all files below whose name is as ``glob``, with ``file``, their path."""
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("allowSingleQuotes", False)
     if not recursive:
         return reader.json(path)
-    out = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").json(path)
+    out = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(path)
     return out.withColumn("file", F.col("_metadata.file_path"))
 
 
@@ -55,9 +55,13 @@ def read_pages(spark: SparkSession, path: str, variable: str, items: str) -> Dat
     return pages.select("page", F.explode(page_items(F.col("value"), variable, items)).alias("item")).select("page", "item.title", "item.tags")
 
 
+#: Blanks around values, quotation marks and line breaks within them stay.
+_AS_IT_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "multiLine": True}
+
+
 def read_table(spark: SparkSession, path: str, fill: str | None = "") -> DataFrame:
     """A parquet or CSV table with nulls of text columns filled. Spreadsheets are to be exported as one of these."""
-    df = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
+    df = spark.read.option("header", True).options(**_AS_IT_IS).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
     return df.na.fill(fill) if fill is not None else df
 
 
@@ -86,7 +90,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A parquet table, or CSV with a header if ``path`` ends so; one folder of part files, unsorted."""
     writer = df.write.mode(mode)
     if path.endswith(".csv"):
-        writer.option("header", True).csv(path)
+        writer.option("header", True).options(**_AS_IT_IS).csv(path)
     else:
         writer.parquet(path)
 
