@@ -124,7 +124,8 @@ def p5_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.shared_share(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+    shares = spans.shared_share(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+    return shares.withColumn("shared_share", F.round("shared_share", 6))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,10 +154,17 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_shares": p10_shares,
 }
+_WINDOWS = """d AS (SELECT doc_id, text, unnest(range(0, length(text) - 199)) AS i FROM documents WHERE length(text) >= 200),
+        w AS (SELECT doc_id, i, hash(substr(text, i + 1, 200)) AS h FROM d),
+        s AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) < max(doc_id)),
+        shared AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM s))"""
 ORACLE_SQL = {
-    "p10_found": """
-        WITH d AS (SELECT doc_id, text, unnest(range(0, length(text) - 199)) AS i FROM documents WHERE length(text) >= 200),
-        w AS (SELECT doc_id, hash(substr(text, i + 1, 200)) AS h FROM d),
-        s AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) < max(doc_id))
-        SELECT DISTINCT doc_id FROM w WHERE h IN (SELECT h FROM s)"""
+    "p10_found": f"WITH {_WINDOWS} SELECT DISTINCT doc_id FROM shared",
+    "p10_shares": f"""WITH {_WINDOWS},
+        o AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM shared),
+        c AS (SELECT doc_id, count(*) FILTER (before IS NULL OR i > before + 200) AS n_spans,
+          sum(CASE WHEN before IS NULL THEN 200 ELSE least(200, i - before) END)::BIGINT AS shared_chars FROM o GROUP BY doc_id)
+        SELECT doc_id, length(text) AS n_chars, coalesce(n_spans, 0) AS n_spans, coalesce(shared_chars, 0) AS shared_chars,
+          CASE WHEN length(text) > 0 THEN round(coalesce(shared_chars, 0) / length(text), 6) ELSE 0.0 END AS shared_share
+        FROM documents LEFT JOIN c USING (doc_id)""",
 }
