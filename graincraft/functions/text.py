@@ -101,10 +101,14 @@ def words_only(c: Column) -> Column:
     return strip(F.regexp_replace(spaced, rf"[{WS}]+", " "))
 
 
+# The characters of the parts of a mail address.
+_MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,7}"
+
+
 def mask_emails(c: Column) -> Column:
     """Mail addresses as [EMAIL]; an address glued to a letter of any script is none."""
     edge = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
-    return F.regexp_replace(c, rf"{edge}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,7}}{edge}", "[EMAIL]")
+    return F.regexp_replace(c, f"{edge}{_MAIL}{edge}", "[EMAIL]")
 
 
 def clean_whitespace(c: Column) -> Column:

@@ -14,6 +14,9 @@ from graincraft.functions import text as X
 from graincraft.functions.plugins import Detector, Segmenter, character_segmenter, stop_word_detector
 from graincraft.operators.grams import Pieces, encoded, first_to_peak, in_blocks
 
+# Limits of the rules, and the languages that are kept.
+MAX_PUNCTUATION, MAX_REPLACED, MAX_SAME, LEAST_PER_SEGMENT = 0.3, 0.01, 0.4, 1.2
+ALLOWED = ("zh", "en")
 # Sizes of n-grams whose most frequent one, and whose repeats, are measured, with the largest share allowed.
 TOP_GRAMS = {n: 0.8 for n in (1, 2, 3, 4)}
 REPEATED_GRAMS = {n: 0.55 for n in (5, 6, 7, 8, 9, 10)}
@@ -49,7 +52,7 @@ def words_per_character(c: Column, segmenter: Segmenter = character_segmenter) -
 
 
 def garbled(
-    c: Column, language: Column | None = None, most_replaced: float = 0.01, most_same: float = 0.4, segmenter: Segmenter = character_segmenter
+    c: Column, language: Column | None = None, most_replaced: float = MAX_REPLACED, most_same: float = MAX_SAME, segmenter: Segmenter = character_segmenter
 ) -> Column:
     """Why a text is garbled, or null: replacement characters, Chinese in too short words, or one word or
     character that makes up most of it. The first rule that holds is named. Null and empty texts are not garbled."""
@@ -57,7 +60,7 @@ def garbled(
     same = (unit["n"] > unit["total"] * most_same) & (F.length(c) > 0)
     out = F.when(X.replaced_ratio(c) > most_replaced, "replaced")
     if language is not None:
-        out = out.when((language == "zh") & (words_per_character(c, segmenter) < 1.2), "segments")
+        out = out.when((language == "zh") & (words_per_character(c, segmenter) < LEAST_PER_SEGMENT), "segments")
     return out.when(same, F.concat(unit["kind"], F.lit("="), unit["unit"]))
 
 
@@ -134,7 +137,7 @@ def language_of(c: Column, detector: Detector = stop_word_detector) -> Column:
     return run(c)
 
 
-def allowed_language(lang: Column, score: Column | None = None, allowed: tuple[str, ...] = ("zh", "en"), min_score: float | None = None) -> Column:
+def allowed_language(lang: Column, score: Column | None = None, allowed: tuple[str, ...] = ALLOWED, min_score: float | None = None) -> Column:
     """Whether a detected language is allowed; without ``min_score`` the probability does not matter."""
     ok = lang.isin(*allowed)
     return F.coalesce(ok & (score >= min_score) if min_score is not None and score is not None else ok, F.lit(False))
@@ -157,7 +160,7 @@ def repeated_questions(turns: DataFrame) -> DataFrame:
     return t.withColumn("repeated", F.coalesce(F.col("turn") > F.col("first"), F.lit(False))).drop("key", "first")
 
 
-def turn_reasons(turns: DataFrame, max_punctuation: float = 0.3, allowed: tuple[str, ...] = ("zh", "en"), language: str | None = None) -> DataFrame:
+def turn_reasons(turns: DataFrame, max_punctuation: float = MAX_PUNCTUATION, allowed: tuple[str, ...] = ALLOWED, language: str | None = None) -> DataFrame:
     """``reason`` of each turn of ``turns (dialogue, turn, question)``, null if it passes.
 
     The first that holds: punctuation (or empty), language, repetition, duplicate (a question of the same

@@ -81,7 +81,7 @@ def bounded_sample(df: DataFrame, order_col: str, rows: int) -> list:
     return df.where(F.pmod(h, F.lit(thin)) == 0).orderBy(h).limit(rows).collect()
 
 
-#: Most 64-bit words of a membership filter: 8 MB, enough for some 6 million members.
+#: Most 64-bit words of a membership filter: 8 MB, enough for some 8 million members.
 FILTER_WORDS = 1 << 20
 
 
