@@ -30,7 +30,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from graincraft.llm.fold import code_points, mix
-from graincraft.session import materialize
+from graincraft.session import materialize, maybe_among
 
 _BASE = 0x9E3779B97F4A7C15
 _SEED = 0xD1B54A32D192ED03
@@ -309,7 +309,7 @@ def shared_windows(df: DataFrame, id_col: str, column: str, span: int = 200, k:
     stands = [stands.select(f"{end}.id", f"{end}.first", f"{end}.last", "anchor") for end in ("lo", "hi")]
     runs = rest.unionByName(stands[0]).unionByName(stands[1]).groupBy("id")
     runs = materialize(runs.agg(F.collect_list(F.struct("first", "last", "anchor")).alias("runs")))
-    own = src.join(runs, "id").select("id", "text", "runs")
+    own = maybe_among(src, "id", runs).join(runs, "id").select("id", "text", "runs")
     own = materialize(own.mapInPandas(_cut(span), "id long, anchor long, first long, stretch string"))
     sizes = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     total, crowded = sizes.agg(F.sum("n"), F.max(F.col("n") > chain)).first()
