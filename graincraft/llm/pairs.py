@@ -246,6 +246,12 @@ COURTESIES = (
 _DECLINE = {k: re.compile(f"(?:{no})(?:.{{0,60}}?)(?:{act})|(?:{act}).{{0,24}}(?:{no})|{whole}" if k in ("de", "zh") else f"(?:{no}).{{0,60}}?\\b(?:{act})|{whole}") for k, (no, act, whole) in GRAMMAR.items()}
 _REFUSE = {k: _DECLINE[k] for k in ("ru", "zh")}
 _REFUSE["latin"] = re.compile("|".join(f"(?:{_DECLINE[k].pattern})" for k in ("en", "de", "fr", "es", "pt")))
+# What a declining clause of the Latin script has in it, whichever of the patterns it fits.
+HINTS = (
+    "not", "n't", "unable", "impossib", "declin", "no ", "allowed", "outside", "beyond", "against", "unanswered", "refus", "nich", "kein",
+    "unmög", "ablehn", "auslass", "verzicht", "gegen", "lehne", "untersagt", "verboten", "ne ", "pas ", "déclin", "contre", "interdit",
+    "hors de", "nieg", "nega", "rechaz", "contra", "fuera", "não ", "recus", "fora ",
+)
 _CYRILLIC = re.compile("[а-я]")
 _HAN_CHAR = re.compile(f"[{_HAN}]")
 _REASON, _COURTESY = re.compile(REASONS), re.compile(COURTESIES)
@@ -267,7 +273,7 @@ def is_refusal(answer: str) -> bool:
         if not any(map(str.isalnum, s)):
             continue
         script = "latin" if s.isascii() else "zh" if _HAN_CHAR.search(s) else "ru" if _CYRILLIC.search(s) else "latin"
-        whole = _REFUSE[script].search(s)
+        whole = _REFUSE[script].search(s) if script != "latin" or any(map(s.__contains__, HINTS)) else None
         if not whole and not _COURTESY.search(s):
             return False
         parts = _CLAUSE.split(s)
