@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graincraft.llm import copies, language, lookalike, mixing, packing, pairs, quality, repetition, spans, subset
+from graincraft.llm.fold import _level_char, fold_char
 from graincraft.session import table
 
 #: The tables of problem 4: id, column, and kind of its records.
@@ -154,11 +155,69 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_shares": p10_shares,
 }
+
+
+_PLAIN = ((0x3400, 0x4DC0), (0x4E00, 0xA000), (0xAC00, 0xD7A4), (0xD800, 0xF900), (0x20000, 0x2F800), (0x2FA20, 0xE0000))
+
+
+def _mapped_sql(rule, source: str) -> str:
+    """CTEs that end in ``f (key, form)``: the texts of ``source (key, text)`` with each character mapped by ``rule``, composed.
+
+    The mapping comes as rows of a character and its form; in the ranges ``_PLAIN`` every character is its own.
+    """
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    codes = [c for lo, hi in zip((0x41, *(b for _, b in _PLAIN)), (*(a for a, _ in _PLAIN), 0xE0080)) for c in range(lo, hi)]
+    rows = ", ".join(f"({c}, {quote(t)})" for c in codes if (t := rule(chr(c))) != chr(c))
+    return f"""m AS (SELECT chr(code) AS c, form FROM (VALUES {rows}) v(code, form)),
+        e AS (SELECT key, regexp_extract_all(text, '(?s).') AS cs FROM ({source}) WHERE text <> ''),
+        ch AS (SELECT key, unnest(cs) AS c, unnest(range(len(cs))) AS pos FROM e),
+        f AS (SELECT key, nfc_normalize(string_agg(coalesce(form, c), '' ORDER BY pos)) AS form FROM ch LEFT JOIN m USING (c) GROUP BY key)"""
+
+
+_ALNUM = "length(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]', '', 'g'))"
+
+
+def _look_sql() -> str:
+    """The texts of problem 2 in their consistent form (``u``), and the forms of different texts (``k``)."""
+    return f"""t AS (SELECT 'conversation' AS tbl, row_id AS id, question AS text FROM conversation UNION ALL SELECT 'corpus', content_id, content FROM corpus),
+        {_mapped_sql(fold_char, "SELECT tbl || id AS key, text FROM t")},
+        u AS (SELECT tbl, id, text, CASE WHEN text IS NOT NULL THEN coalesce(form, '') END AS unified FROM t LEFT JOIN f ON f.key = t.tbl || t.id),
+        k AS (SELECT tbl, unified, min(id) AS class_id FROM u WHERE {_ALNUM.format("unified")} >= 12 GROUP BY tbl, unified HAVING min(text) <> max(text))"""
+
+
+def _record_sql() -> str:
+    """The records of problem 4 with what they are compared by (``r``), and the keys of several (``g``)."""
+    leaf = "SELECT id, {path} AS path, json_type({of}, '$.{field}') AS kind, json_extract_string({of}, '$.{field}') AS v FROM {rows}"
+    leaves = [leaf.format(path=f"'{x}'", of="line", field=x, rows="l") for x in ("lang", "source")]
+    leaves += [leaf.format(path=f"printf('%06d.{x}', n)", of="turn", field=x, rows="turns") for x in ("question", "answer", "score_x_difficulty")]
+    return f"""l AS (SELECT line_id AS id, line FROM dialogue_line WHERE json_valid(line) AND line LIKE '{{%' AND NOT regexp_matches(line, ',[ ]*[}}\\]]')),
+        turns AS (SELECT id, unnest(json_extract(line, '$.data[*]')) AS turn, unnest(range(len(json_extract(line, '$.data[*]')))) AS n FROM l),
+        leaves AS ({" UNION ALL ".join(leaves)}),
+        t AS (SELECT 'conversation' AS tbl, row_id AS id, '' AS path, 'VARCHAR' AS kind, question AS text FROM conversation
+          UNION ALL SELECT 'corpus', content_id, '', 'VARCHAR', content FROM corpus UNION ALL SELECT 'dialogue_line', id, path, kind, v FROM leaves WHERE kind IS NOT NULL),
+        {_mapped_sql(_level_char, "SELECT concat_ws('/', tbl, id, path) AS key, text FROM t WHERE kind = 'VARCHAR'")},
+        p AS (SELECT tbl, id, path, kind, CASE WHEN kind = 'VARCHAR' THEN
+            nfc_normalize(regexp_replace(coalesce(form, ''), '[\\p{{P}}\\p{{Z}}\\p{{C}}\\s$+<=>^`|~]', '', 'g'))
+          WHEN kind = 'NULL' THEN '' ELSE text::DOUBLE::VARCHAR END AS form FROM t LEFT JOIN f ON f.key = concat_ws('/', t.tbl, t.id, t.path) WHERE text IS NOT NULL OR kind = 'NULL'),
+        r AS (SELECT tbl, id, string_agg(path || CASE WHEN kind IN ('VARCHAR', 'NULL') THEN kind ELSE 'NUMBER' END || ' ' || form, chr(10) ORDER BY path) AS key FROM p
+          WHERE tbl = 'dialogue_line' OR {_ALNUM.format("form")} >= 12 GROUP BY tbl, id),
+        g AS (SELECT tbl, key, min(id) AS first_id, count(*) AS copies FROM r GROUP BY tbl, key HAVING count(*) > 1)"""
+
+
+_LOOKS = _look_sql()
 _WINDOWS = """d AS (SELECT doc_id, text, unnest(range(0, length(text) - 199)) AS i FROM documents WHERE length(text) >= 200),
         w AS (SELECT doc_id, i, hash(substr(text, i + 1, 200)) AS h FROM d),
         s AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) < max(doc_id)),
         shared AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM s))"""
 ORACLE_SQL = {
+    "p2_unified": f"WITH {_LOOKS} SELECT tbl, id, text, unified FROM u",
+    "p2_classes": f"WITH {_LOOKS} SELECT tbl, id, class_id FROM u JOIN k USING (tbl, unified)",
+    "p2_found": f"""WITH {_LOOKS} SELECT a.tbl, a.id AS id_a, b.id AS id_b FROM u a JOIN k ON a.tbl = k.tbl AND a.unified = k.unified
+        JOIN u b ON a.tbl = b.tbl AND a.unified = b.unified AND a.id < b.id AND a.text <> b.text""",
+    "p4_found": f"WITH {_record_sql()} SELECT r.tbl, first_id, id AS copy_id FROM r JOIN g USING (tbl, key) WHERE id <> first_id",
+    "p4_collapsed": f"""WITH {_record_sql()}, every AS (SELECT 'conversation' AS tbl, row_id AS id FROM conversation
+        UNION ALL SELECT 'corpus', content_id FROM corpus UNION ALL SELECT 'dialogue_line', line_id FROM dialogue_line)
+        SELECT tbl, id, coalesce(copies, 1) AS n_copies FROM every LEFT JOIN (r JOIN g USING (tbl, key)) USING (tbl, id) WHERE id = coalesce(first_id, id)""",
     "p10_found": f"WITH {_WINDOWS} SELECT DISTINCT doc_id FROM shared",
     "p10_shares": f"""WITH {_WINDOWS},
         o AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM shared),

@@ -13,10 +13,11 @@ def test_query(spark, data_dir, name):
         import duckdb
 
         con = duckdb.connect()
-        con.execute(f"CREATE VIEW documents AS FROM '{data_dir}/documents.parquet'")
+        for t in ("documents", "conversation", "corpus", "dialogue_line"):
+            con.execute(f"CREATE VIEW {t} AS FROM '{data_dir}/{t}.parquet'")
         want = con.execute(ORACLE_SQL[name])
         names = [c[0] for c in want.description]
-        assert sorted(map(tuple, df.select(*names).collect())) == sorted(want.fetchall()) and sorted(names) == sorted(df.columns)
+        assert sorted(map(tuple, df.select(*names).collect()), key=repr) == sorted(want.fetchall(), key=repr) and sorted(names) == sorted(df.columns)
 
 
 COLUMNS = {
