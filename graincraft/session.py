@@ -65,9 +65,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan dealt to all cores where its files alone, of few row groups, would feed fewer tasks.
+
+    Tables of as many parts as there are cores stay as they are, so that no large one is ever moved. Filters and
+    column choices still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the test data."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def bounded_sample(df: DataFrame, order_col: str, rows: int) -> list:
