@@ -526,7 +526,11 @@ def byte_pieces(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def media_inventory(spark: SparkSession, d: str) -> DataFrame:
     """The files of the table folder whose name holds 'parquet', with a duration found in their content."""
-    files = io.media_seconds(spark, d, lambda content: len(content) / 1000, "*parquet*")
+
+    def probe(f) -> float:
+        return sum(len(piece) for piece in iter(lambda: f.read(1 << 20), b"")) / 1000
+
+    files = io.media_seconds(spark, d, probe, "*parquet*", opened=True)
     listed = io.list_media(spark, d, "*parquet*").select(F.col("path").alias("file"), F.col("length").alias("listed"))
     rows = files.join(listed, files["path"] == listed["file"])
     return rows.select(X.file_name(F.col("path")).alias("name"), X.size_text(F.col("listed")).alias("size"), X.duration_text(F.col("seconds")).alias("long"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from io import BytesIO
+from typing import BinaryIO
 from urllib.parse import unquote
 
 import pandas as pd
@@ -75,15 +77,29 @@ def list_media(spark: SparkSession, path: str, glob: str = "*mp4*") -> DataFrame
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "length")
 
 
-def media_seconds(spark: SparkSession, path: str, probe: Callable[[bytes], float | None], glob: str = "*mp4*") -> DataFrame:
-    """``(path, length, seconds)`` with the duration that ``probe`` finds in each file's content."""
+def media_seconds(spark: SparkSession, path: str, probe: Callable[[bytes], float | None] | Callable[[BinaryIO], float | None], glob: str = "*mp4*", opened: bool = False) -> DataFrame:
+    """``(path, length, seconds)`` with the duration that ``probe`` finds in each file's content.
+
+    ``probe`` is given the content as ``bytes``, so that a task holds one whole file. With ``opened`` it is given the file,
+    open for reading, and holds what it reads at a time, so that files may be of any size. Files of other than local file
+    systems are held as a whole either way and have to be smaller than 2 GB, as Spark's source is what reads them.
+    """
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    local = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
 
-    @F.pandas_udf("double")
-    def seconds(contents: pd.Series) -> pd.Series:
-        return pd.Series([probe(bytes(c)) for c in contents], dtype="float64")
+    def content_of(own: str | bytes) -> BinaryIO:
+        return open("/" + own.removeprefix("file:").lstrip("/"), "rb") if local else BytesIO(own)
 
-    return files.select("path", "length", seconds("content").alias("seconds"))
+    @F.pandas_udf("double")
+    def seconds(each: pd.Series) -> pd.Series:
+        found = []
+        for own in each:
+            with content_of(own) as f:
+                found.append(probe(f if opened else f.read()))
+        return pd.Series(found, dtype="float64")
+
+    return files.select("path", "length", seconds("path" if local else "content").alias("seconds"))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -332,6 +332,34 @@ def test_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "routes")).count() == 2
 
 
+def test_media_inventory_takes_files_of_any_size(spark, tmp_path):
+    from graincraft.plans.queries import QUERIES
+
+    (tmp_path / "a.parquet").write_bytes(b"12345")
+    with open(tmp_path / "big.parquet", "wb") as f:
+        f.truncate(5 << 29)  # holes only, and more than a value of Spark can hold
+    rows = QUERIES["media_inventory"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, rows)) == [("a.parquet", "5.000Bytes", "0.005s"), ("big.parquet", "2.500G", "745h39m14.560s")]
+
+
+def test_media_probes_of_bytes_and_of_files(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a b%20é#.mp4").write_bytes(b"12345")
+    (tmp_path / "sub/c.mp4").write_bytes(b"moov7")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.media.link./in", f"file:{tmp_path}")
+
+    def of_bytes(content):
+        return float(content[4:]) if b"moov" in content else None
+
+    def of_file(f):
+        return float(f.read()) if f.read(4) == b"moov" else None
+
+    for top in (str(tmp_path), f"file://{tmp_path}", f"{tmp_path}*", "viewfs://media/in"):
+        for probe in (of_bytes, of_file):
+            rows = io.media_seconds(spark, top, probe, opened=probe is of_file).collect()
+            assert sorted((r["path"].rpartition("/")[2], r["length"], r["seconds"]) for r in rows) == [("a b%20é#.mp4", 5, None), ("c.mp4", 5, 7.0)]
+
+
 def test_plug_ins(spark, tmp_path):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "id long, t string")
     up = io.translate_column(df, "t", "u", lambda ts: [t.upper() for t in ts])
