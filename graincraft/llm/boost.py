@@ -16,12 +16,16 @@ class Tree:
     value: np.ndarray
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(x), dtype=np.int64)
-        rows = np.arange(len(x))
         inner = len(self.feature)
-        while len(rows) and node[0] < inner:
-            node = 2 * node + 1 + (x[rows, self.feature[node]] > self.cut[node])
-        return self.value[node - inner]
+
+        def at(node: int):
+            if node >= inner:
+                return self.value[node - inner]
+            if self.cut[node] == np.inf:  # no split: nothing goes right
+                return at(2 * node + 1)
+            return np.where(x[:, self.feature[node]] > self.cut[node], at(2 * node + 2), at(2 * node + 1))
+
+        return np.broadcast_to(at(0), len(x))
 
 
 def _fit_tree(binned, edges, grad, hess, depth, bins, ridge=1.0) -> tuple[Tree, np.ndarray]:
@@ -95,6 +99,7 @@ class Boosted:
         return out
 
     def scores(self, x: np.ndarray) -> np.ndarray:
+        x = np.asfortranarray(x)  # trees look at columns
         return np.stack([self.rate * sum(t.predict(x) for t in own) for own in self.trees], axis=1)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> "Boosted":

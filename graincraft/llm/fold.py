@@ -91,6 +91,43 @@ def level(text: str) -> str:
     return text.casefold() if text.isascii() else unicodedata.normalize("NFC", text.translate(_LEVEL))
 
 
+_UNMET, _SEVERAL, _NOTHING = 0x7FFFFFF0, 0x7FFFFFF1, 0x7FFFFFF2
+
+
+@lru_cache(maxsize=1)
+def _level_codes() -> np.ndarray:
+    """For each code point that of its level form, filled as characters are met."""
+    return np.full(0x110000, _UNMET, dtype=np.uint32)
+
+
+def _level_code(code: int) -> int:
+    form = unicodedata.normalize("NFC", _LEVEL[code])
+    return ord(form) if len(form) == 1 else _SEVERAL if form else _NOTHING
+
+
+def level_all(texts: list[str]) -> list[str]:
+    """``level`` of each text, by one lookup of all their characters."""
+    out = [t.casefold() if t.isascii() else None for t in texts]
+    wide = [k for k, t in enumerate(out) if t is None]
+    if not wide:
+        return out
+    table = _level_codes()
+    codes, offsets = code_points([texts[k] for k in wide])
+    met = table[codes]
+    if (new := np.unique(codes[met == _UNMET])).size:
+        table[new] = [_level_code(c) for c in new.tolist()]
+        met = table[codes]
+    several = np.append(0, np.cumsum(met == _SEVERAL))[offsets]
+    met[met == _SEVERAL] = 32
+    if (gone := met == _NOTHING).any():
+        offsets = offsets - np.append(0, np.cumsum(gone))[offsets]
+        met = met[~gone]
+    joined, at = met.tobytes().decode("utf-32-le", "surrogatepass"), offsets.tolist()
+    for k, a, b, more in zip(wide, at, at[1:], np.diff(several).tolist()):
+        out[k] = level(texts[k]) if more else unicodedata.normalize("NFC", joined[a:b])
+    return out
+
+
 def bare(text: str) -> str:
     """``same_look`` without letter case, white space and punctuation."""
     return unicodedata.normalize("NFC", text.translate(_BARE))
